@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -75,3 +77,19 @@ class WordCache:
             new = list(fresh)
             self.of.update(zip(new, self.compute(new), strict=True))
         return self.of
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """A folder that the driver and all executors share: ``spark.checkpoint.dir``, or a local one where it is unset."""
+    found = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getConf().get("spark.checkpoint.dir", "")
+    if not found:
+        found = f"file://{tempfile.mkdtemp(prefix='corpuswright-')}"
+        spark.conf.set("spark.checkpoint.dir", found)
+    return found.rstrip("/")
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows, written to the shared folder as Parquet and read back: computed once, and lineage ends there."""
+    path = f"{shared_dir(df.sparkSession)}/corpuswright/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

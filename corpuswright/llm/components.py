@@ -1,0 +1,40 @@
+"""Connected components of a graph given by its links, by repeated contraction."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from corpuswright.llm.common import written
+
+
+def components(links: DataFrame) -> DataFrame:
+    """``(node, root)`` for every node of the links ``(a, b)``: nodes are joined by a path exactly if their roots are equal.
+
+    Each round, every node points to the least of itself and its neighbours (by a hash, so that long chains shrink by a
+    constant share too), links are moved to what their ends point to, and loops and repeats go. The pointers of all rounds
+    are followed in the end. Links only shrink; each round's tables are written to the shared folder. Null ends are left
+    out; no links give no rows. Nothing but row counts comes to the driver.
+    """
+    order = lambda c: F.struct(F.xxhash64(c).alias("h"), F.col(c).alias("id"))
+    left = links.select("a", "b").where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b"))).distinct()
+    left = written(left, "links")
+    pointers = []
+    while not left.isEmpty():
+        both = left.select(F.col("a").alias("node"), order("b").alias("to")).union(left.select(F.col("b").alias("node"), order("a").alias("to")))
+        least = both.groupBy("node").agg(F.min("to").alias("to"))
+        to = written(least.select("node", F.least(F.col("to"), order("node")).getField("id").alias("to")), "pointers")
+        pointers.append(to)
+        moved = left.join(to.select(F.col("node").alias("a"), F.col("to").alias("a_to")), "a").join(to.select(F.col("node").alias("b"), F.col("to").alias("b_to")), "b")
+        moved = moved.where(F.col("a_to") != F.col("b_to")).select(F.least("a_to", "b_to").alias("a"), F.greatest("a_to", "b_to").alias("b")).distinct()
+        left = written(moved, "links")
+    if not pointers:
+        return left.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    # from the last round back: what a node points to has its root among the later rounds' nodes, or is a root
+    roots = pointers[-1].select("node", F.col("to").alias("root"))
+    for i, to in enumerate(reversed(pointers[:-1])):
+        later = roots.select(F.col("node").alias("to"), "root")
+        roots = to.join(later, "to", "left").select("node", F.coalesce("root", "to").alias("root"))
+        if i % 3 == 2:
+            roots = written(roots, "roots")
+    return written(roots, "roots")
