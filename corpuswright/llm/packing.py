@@ -9,11 +9,15 @@ into sequences whose lengths are powers of two, which are not padded: over any i
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from collections.abc import Callable, Iterator
 from functools import cache
+from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -23,8 +27,9 @@ from corpuswright.llm.common import WordCache, batches, map_arrow
 
 CAPACITY = 4096
 END_ID = 2
-#: A special token that stands between words while many are encoded at once.
-BETWEEN = "<|startoftext|>"
+#: No combining marks, white space or control characters, nor the letter whose lower case is two characters: here lower case
+#: and canonical composition work character by character, whatever the Unicode version.
+_SIMPLE = re.compile("[!-~\u00a1-\u012f\u0131-\u024f]+").fullmatch
 
 
 def default_tokenizer() -> str:
@@ -42,31 +47,46 @@ class WordEncoder:
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.mark = self.tokenizer.token_to_id(BETWEEN)
-        self.mark_bytes = int(self.mark).to_bytes(4, "little")
-        self.cache = WordCache(self._encode, 400_000)
+        self.find = regex.compile(json.loads(Path(path).read_text(encoding="utf-8"))["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.parts = WordCache(self._encode_parts)
+        self.cache = WordCache(self._encode)
 
     def _ids(self, text: str) -> bytes:
-        import numpy as np
-
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _encode(self, words: list[str]) -> list[bytes]:
-        import numpy as np
-
-        plain = [w for w in words if "<|" not in w]
-        of = {w: self._ids(w) for w in words if "<|" in w}
-        for at in range(0, len(plain), 2000):
-            some = plain[at : at + 2000]
-            ids = np.array(self.tokenizer.encode(BETWEEN.join(some), add_special_tokens=False).ids, dtype="<u4")
-            cuts = np.flatnonzero(ids == self.mark)
-            ends, begins = [*cuts.tolist(), len(ids)], [0, *(cuts + 1).tolist()]
+    def _encode_parts(self, parts: list[str]) -> list[bytes]:
+        """Ids of strings that are one token of the pre-tokenizer each, set apart by spaces."""
+        out: list[bytes] = []
+        for at in range(0, len(parts), 4000):
+            some = parts[at : at + 4000]
+            coded = self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0]
+            ids = np.array(coded.ids, dtype="<u4")
+            ends = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            if len(ends) != len(some) or ends[-1] != len(ids):
+                out += map(self._ids, some)
+                continue
             raw = ids.tobytes()
-            of.update((w, raw[4 * a : 4 * b]) for w, a, b in zip(some, begins, ends, strict=True))
-        return [of[w] for w in words]
+            out += [raw[4 * a : 4 * b] for a, b in zip([0, *ends], ends, strict=False)]
+        return out
+
+    def _encode(self, words: list[str]) -> list[bytes]:
+        """Words of Latin letters and signs go by their parts, all others through the tokenizer itself."""
+        of, split = {}, {}
+        for word in words:
+            if _SIMPLE(word) and "<|" not in word:
+                split[word] = self.find(word.lower())
+            else:
+                of[word] = self._ids(word)
+        get = self.parts.learn(split.values()).__getitem__
+        of.update((word, b"".join(map(get, some))) for word, some in split.items())
+        return [of[word] for word in words]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
@@ -162,8 +182,6 @@ def pack(
             doc, start, length, crc, total, ids, sequence, offset = zip(*rows, strict=True)
             arrays = [pa.array(doc, doc_type), *(pa.array(x, pa.int64()) for x in (start, length, crc, total, sequence, offset))]
             if with_ids:
-                import numpy as np
-
                 arrays.append(pa.array([np.frombuffer(x, dtype="<u4").astype("int32") for x in ids], pa.list_(pa.int32())))
             return pa.RecordBatch.from_arrays(arrays, names=names)
 
