@@ -82,12 +82,12 @@ class Automaton:
         shorter, n = self.arc(state[1:], word), self.count[len(state)][state]
         if not n:
             return shorter
-        e = self.failure[len(state) + 1, n.bit_length()]
+        e = self.failure.get((len(state) + 1, n.bit_length()), 1.0)
         return (1 - e) * self.count[len(state) + 1][(*state, word)] / n + e * shorter
 
     def walk(self, text: str) -> float:
         """log10 of the probability of a text and its end."""
-        state, total = (BEGIN,), 0.0
+        state, total = (BEGIN,) if self.order > 1 else (), 0.0
         for word in [*words_of(text), END]:
             total += log10(self.arc(state, word))
             state = (*state, word)[-(self.order - 1) :] if self.order > 1 else ()
