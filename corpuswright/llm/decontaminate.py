@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -192,28 +193,18 @@ def blocks(benchmark: DataFrame, limit: int = BLOCK_CHARS) -> Iterator[list[tupl
         yield some
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, run_words: int = RUN_WORDS) -> DataFrame:
-    """``(doc_id, item_id, share, score, first_word, last_word)``: each document and test item of which it holds a copy.
+def seeded(docs: DataFrame, benchmark: DataFrame) -> Iterator[Broadcast]:
+    """For each block of test items, the items with their seeds, which are chosen by counts over all documents.
 
-    ``share``: the alignment's score by the highest the item allows; the words are numbers of the document's words, the last
-    not included; of several copies of an item in a document the best is told. A leak has ``share`` of the item's score, or
-    as much as ``run_words`` agreeing words. Null and empty texts and items match nothing; repeated documents give
-    repeated rows, repeated items one; items that are equal but for their id are all told. Empty tables give no rows.
-
-    Documents are read twice for each block of items (there is one block for 8 MB of items) and never shuffled; a seed's
-    count is summed over tasks first.
+    A seed's count is summed over tasks first; the driver gets one number for each n-gram of the block.
     """
-    spark = docs.sparkSession
-    doc_kind, item_kind = docs.schema["doc_id"].dataType.simpleString(), benchmark.schema["item_id"].dataType.simpleString()
-    narrow = docs.select("doc_id", "text").where(F.length("text") > 0)
-    schema = f"doc_id {doc_kind}, item_id {item_kind}, share double, score bigint, first_word bigint, last_word bigint"
-    item_type = pa.int64() if item_kind == "bigint" else pa.int32() if item_kind == "int" else pa.string()
-    out = spark.createDataFrame([], schema)
+    context = docs.sparkSession.sparkContext
+    texts_only = docs.select("text").where(F.length("text") > 0)
     for some in blocks(benchmark):
         items = Items(some)
-        plain = spark.sparkContext.broadcast(items)
+        plain = context.broadcast(items)
 
-        def count(it: Iterator[pa.RecordBatch], shared=plain) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
+        def count(it: Iterator[pa.RecordBatch], shared: Broadcast = plain) -> Iterator[pa.RecordBatch]:
             of = shared.value
             total = np.zeros(len(of.grams), dtype=np.int64)
             for _, texts in batches(it, 2_000_000):
@@ -222,11 +213,29 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, run_words
             seen = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], names=["gram", "n"])
 
-        counts = narrow.select("text").mapInArrow(count, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
+        counts = texts_only.mapInArrow(count, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
         items.choose({r[0]: r[1] for r in counts.collect()})
-        seeded = spark.sparkContext.broadcast(items)
+        yield context.broadcast(items)
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, run_words: int = RUN_WORDS) -> DataFrame:
+    """``(doc_id, item_id, share, score, first_word, last_word)``: each document and test item of which it holds a copy.
 
-        def find(it: Iterator[pa.RecordBatch], shared=seeded) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
+    ``share``: the alignment's score by the highest the item allows; the words are numbers of the document's words, the last
+    not included; of several copies of an item in a document the best is told. A leak has ``share`` of the item's score, or
+    as much as ``run_words`` agreeing words. Null and empty texts and items match nothing; repeated documents give
+    repeated rows, repeated items one; items that are equal but for their id are all told. Empty tables give no rows.
+
+    Documents are read twice for each block of items (there is one block for 8 MB of items) and never shuffled.
+    """
+    doc_kind, item_kind = docs.schema["doc_id"].dataType.simpleString(), benchmark.schema["item_id"].dataType.simpleString()
+    narrow = docs.select("doc_id", "text").where(F.length("text") > 0)
+    schema = f"doc_id {doc_kind}, item_id {item_kind}, share double, score bigint, first_word bigint, last_word bigint"
+    item_type = pa.int64() if item_kind == "bigint" else pa.int32() if item_kind == "int" else pa.string()
+    out = docs.sparkSession.createDataFrame([], schema)
+    for items in seeded(docs, benchmark):
+
+        def find(it: Iterator[pa.RecordBatch], shared: Broadcast = items) -> Iterator[pa.RecordBatch]:
             of = shared.value
             for batch, texts in batches(it, 2_000_000):
                 found = leaks_of(of, texts, share, run_words)
@@ -239,3 +248,18 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, run_words
 
         out = out.union(narrow.mapInArrow(find, schema))
     return out
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, run_words: int = RUN_WORDS) -> DataFrame:
+    """The documents (all their columns) that hold no copy of a test item, by the rules of ``leaks``. Narrow, no join."""
+    out = docs
+    for items in seeded(docs, benchmark):
+
+        def keep(it: Iterator[pa.RecordBatch], shared: Broadcast = items) -> Iterator[pa.RecordBatch]:
+            of = shared.value
+            for batch, texts in batches(it, 2_000_000):
+                leaking = {t for t, *_ in leaks_of(of, texts, share, run_words)}
+                yield batch.filter(pa.array([i not in leaking for i in range(len(texts))], pa.bool_()))
+
+        out = out.mapInArrow(keep, docs.schema)
+    return out

@@ -168,15 +168,18 @@ def train(df: DataFrame, folds: int = 5, order: int = ORDER, total: int = SAMPLE
     return ContextTrees(sample(df.select("doc_id", "text", "lang"), "lang", fold("doc_id", folds) != 0, total, each), order)
 
 
-def identify(df: DataFrame, trees: ContextTrees, carry: bool = False) -> DataFrame:
+def identify(df: DataFrame, trees: ContextTrees, carry: tuple[str, ...] = ()) -> DataFrame:
     """``(doc_id, held_out, lang_pred, score, bits_per_byte)`` of every row, from its whole text alone.
 
     Null texts, and texts with no letter, are ``und`` with score 0; so is everything if no language was learned. Ties go
     to the language whose name sorts first. The score is the share of the best language when each language weighs
-    ``2 ** (-excess bits / sqrt(bytes))``. ``carry`` keeps ``text`` as well. Narrow: one row in, one row out.
+    ``2 ** (-excess bits / sqrt(bytes))``. Columns named in ``carry`` are kept as well (none may have the name of a result).
+    Repeated rows and null ids are kept; an empty table gives no rows. Narrow: one row in, one row out.
     """
     shared = df.sparkSession.sparkContext.broadcast(trees)
-    narrow = df.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "text")
+    more = [c for c in carry if c != "doc_id"]
+    kinds = {f.name: f.dataType.simpleString() for f in df.select("doc_id", "text", *[c for c in more if c != "text"]).schema}
+    narrow = df.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "text", *[c for c in more if c != "text"])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -191,9 +194,8 @@ def identify(df: DataFrame, trees: ContextTrees, carry: bool = False) -> DataFra
                         best[i], score[i] = model.languages[top[i]], share[i]
             per_byte = (bits.min(axis=1) if model.languages else np.zeros(len(texts))) / np.maximum(length, 1)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("held_out"), pa.array(best, pa.string()), pa.array(score), pa.array(per_byte), *[batch.column("text")] * carry],
-                names=["doc_id", "held_out", "lang_pred", "score", "bits_per_byte", *["text"] * carry],
+                [batch.column("doc_id"), batch.column("held_out"), pa.array(best, pa.string()), pa.array(score), pa.array(per_byte), *[batch.column(c) for c in more]],
+                names=["doc_id", "held_out", "lang_pred", "score", "bits_per_byte", *more],
             )
 
-    kind = df.schema["doc_id"].dataType.simpleString()
-    return narrow.mapInArrow(run, f"doc_id {kind}, held_out boolean, lang_pred string, score double, bits_per_byte double" + ", text string" * carry)
+    return narrow.mapInArrow(run, f"doc_id {kinds['doc_id']}, held_out boolean, lang_pred string, score double, bits_per_byte double" + "".join(f", `{c}` {kinds[c]}" for c in more))

@@ -223,7 +223,7 @@ def counted(docs: DataFrame, order: int = ORDER, folds: int = FOLDS) -> DataFram
         context = TaskContext.get()
         block = (context.partitionId() if context else 0) << 32
         texts, ids, held, size, types = [], [], [], 0, None
-        for batch, some in batches(it, BLOCK_CHARS):
+        for batch, some in batches(it, BLOCK_CHARS // 8):
             types = types or _types(batch.schema.field("doc_id").type)
             for text, doc, out in zip(some, batch.column("doc_id").to_pylist(), batch.column("held").to_pylist(), strict=True):
                 if texts and size + len(text) > BLOCK_CHARS:

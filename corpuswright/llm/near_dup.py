@@ -16,7 +16,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuswright.llm.common import batches, written
@@ -176,3 +176,20 @@ def near_duplicates(df: DataFrame, bits: int = BITS, width: int = WIDTH) -> Data
     of = first.join(roots.select(F.col("node").alias("fp"), "root").join(least, "root").select("fp", "component_id"), "fp", "left")
     of = of.select("fp", F.coalesce("component_id", "first").alias("component_id"))
     return docs.join(of, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, bits: int = BITS, width: int = WIDTH) -> DataFrame:
+    """The documents (all their columns), one of each group of near-duplicates: the one with the smallest id.
+
+    Of rows that share an id the one whose text sorts first stays, nulls first. Rows with a null id are never dropped, as
+    nothing tells them apart. Null texts count as empty, and all texts without words are one group.
+    """
+    found = near_duplicates(docs, bits, width)
+    kept = written(found.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count("*").alias("rows")), "kept")
+    out = docs.join(kept.where("rows = 1").select("doc_id"), "doc_id", "left_semi")
+    if not kept.where("rows > 1").isEmpty():
+        repeated = docs.join(kept.where("rows > 1").select("doc_id"), "doc_id", "left_semi")
+        first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+        out = out.unionByName(repeated.withColumn("__row", first).where("__row = 1").drop("__row"))
+    nameless = docs.where(F.col("doc_id").isNull())
+    return out if nameless.isEmpty() else out.unionByName(nameless)

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from corpuswright.llm import chat, decontaminate, fingerprints, html_text, language_id, lm_score, near_dup, packing, quality, token_counts
 from corpuswright.llm.common import table
 
@@ -74,3 +75,12 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
