@@ -1,15 +1,16 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
 Texts are compared as words (lower case, ASCII signs dropped). A pass over all documents counts every word n-gram of the
-benchmark in them. Of each stretch of ``STRETCH`` neighbouring n-grams of a test item, the one that is rarest in the corpus
-becomes a seed, so common phrases seed nothing unless an item has nothing else, and any copied run of ``STRETCH + n - 1``
-words holds a seed. Seeds found in a document join the passage around them to the item, and a local alignment scores the two:
-words may be changed, left out or put in.
+benchmark in them. Rare n-grams become seeds; where a stretch of ``STRETCH`` neighbouring n-grams of a test item has no rare
+one, the rarest that occurs becomes one. So common phrases seed nothing unless an item has nothing else there, and any copied
+run of ``STRETCH + n - 1`` words holds a seed. Seeds found in a document join the passage around them to the item, and a
+local alignment scores the two: words may be changed, left out or put in.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,8 @@ from corpuswright.llm.common import batches
 
 GRAM = 3
 STRETCH = 4
+#: A rare n-gram is at no more than this share of the corpus's positions, or occurs no more than so many times.
+RARE_SHARE, RARE_TIMES = 1e-5, 100
 #: Alignment: scores of a word that agrees, of one that differs, and of one that only one side has.
 AGREE, DIFFER, GAP = 2, -1, -1
 #: A passage is a leak if its alignment has this share of the highest score for the item, ...
@@ -73,7 +76,7 @@ class Items:
         begin = np.zeros(len(texts) + 1, dtype=np.int64)
         for i, text in enumerate(texts):
             begin[i] = len(flat)
-            flat += [-1 if x is None else x for x in map(get, words_of(text))]
+            flat.extend(map(get, words_of(text), repeat(-1)))
             if len(flat) - begin[i] < self.gram:
                 # a text shorter than a seed is one seed, as short items are
                 flat += [self.base - 1] * (self.gram - (len(flat) - int(begin[i])))
@@ -98,15 +101,19 @@ class Items:
         hit = wanted[place] == key
         return at[hit], place[hit]
 
-    def choose(self, counts: dict[int, int], stretch: int = STRETCH) -> None:
-        """Keeps as seeds the n-grams that are rarest in some stretch of an item (of equals, the first)."""
+    def choose(self, counts: dict[int, int], positions: int = 0, stretch: int = STRETCH) -> None:
+        """Keeps as seeds the n-grams that occur and are rare, and of a stretch without one the rarest that occurs (of
+        equals, the first). ``counts``: times in the corpus; ``positions``: of the corpus, in words."""
         count = np.array([counts.get(i, 0) for i in range(len(self.grams))])
-        kept = []
+        rare = (count > 0) & (count <= max(RARE_TIMES, RARE_SHARE * positions))
+        kept = np.flatnonzero(rare).tolist()
         for i in range(len(self.ids)):
             place = np.searchsorted(self.grams, self.key_at[self.item_at == i])
-            of = count[place]
+            some, known = rare[place], np.where(count[place] > 0, count[place], np.iinfo(np.int64).max)
             for a in range(max(1, len(place) - stretch + 1)) if len(place) else ():
-                kept.append(place[a + int(np.argmin(of[a : a + stretch]))])
+                least = a + int(np.argmin(known[a : a + stretch]))
+                if not some[a : a + stretch].any() and count[place[least]]:
+                    kept.append(place[least])
         self.seeds = self.grams[np.unique(np.array(kept, dtype=np.int64))]
         place = np.minimum(np.searchsorted(self.seeds, self.key_at), max(len(self.seeds) - 1, 0))
         some = self.seeds[place] == self.key_at if len(self.seeds) else np.zeros(0, bool)
@@ -206,15 +213,17 @@ def seeded(docs: DataFrame, benchmark: DataFrame) -> Iterator[Broadcast]:
 
         def count(it: Iterator[pa.RecordBatch], shared: Broadcast = plain) -> Iterator[pa.RecordBatch]:
             of = shared.value
-            total = np.zeros(len(of.grams), dtype=np.int64)
+            total, positions = np.zeros(len(of.grams), dtype=np.int64), 0
             for _, texts in batches(it, 2_000_000):
                 coded, _ = of.coded(texts)
+                positions += len(coded)
                 total += np.bincount(of.hits(coded, of.grams)[1], minlength=len(total))
             seen = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], names=["gram", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([-1, *seen.tolist()], pa.int64()), pa.array([positions, *total[seen].tolist()], pa.int64())], names=["gram", "n"])
 
         counts = texts_only.mapInArrow(count, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
-        items.choose({r[0]: r[1] for r in counts.collect()})
+        known = {r[0]: r[1] for r in counts.collect()}
+        items.choose(known, known.get(-1, 0))
         yield context.broadcast(items)
 
 
@@ -223,7 +232,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, run_words
 
     ``share``: the alignment's score by the highest the item allows; the words are numbers of the document's words, the last
     not included; of several copies of an item in a document the best is told. A leak has ``share`` of the item's score, or
-    as much as ``run_words`` agreeing words. Null and empty texts and items match nothing; repeated documents give
+    as much as ``run_words`` agreeing words. An item of fewer words than an n-gram has is found only where it is the whole
+    text. Null and empty texts and items match nothing; repeated documents give
     repeated rows, repeated items one; items that are equal but for their id are all told. Empty tables give no rows.
 
     Documents are read twice for each block of items (there is one block for 8 MB of items) and never shuffled.
