@@ -186,7 +186,8 @@ def one_of_each(docs: DataFrame, bits: int = BITS, width: int = WIDTH) -> DataFr
     """
     found = near_duplicates(docs, bits, width)
     kept = written(found.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count("*").alias("rows")), "kept")
-    out = docs.join(kept.where("rows = 1").select("doc_id"), "doc_id", "left_semi")
+    # the ids grow with the corpus, so they are never broadcast
+    out = docs.join(kept.where("rows = 1").select("doc_id").hint("merge"), "doc_id", "left_semi")
     if not kept.where("rows > 1").isEmpty():
         repeated = docs.join(kept.where("rows > 1").select("doc_id"), "doc_id", "left_semi")
         first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
