@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from hashlib import md5
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpuswright.functions.text import dedup_key, words
+from corpuswright.functions.text import dedup_key
 from corpuswright.operators.graph import components
 from corpuswright.plans.storage import written
 
@@ -26,21 +28,17 @@ def exact_dedup(df: DataFrame, id_col: str = "id", text_col: str = "text") -> Da
     return df.join(exact_groups(df, id_col, text_col).select(F.col("keep_id").alias(id_col)), id_col, "left_semi")
 
 
-def plain_words(key: Column | str) -> Column:
-    """Words of a normalised text without its punctuation."""
-    return words(F.regexp_replace(F.col(key) if isinstance(key, str) else key, r"[^\p{L}\p{N}\s]+", " "))
-
+def plain(key: Column | str) -> Column:
+    """A normalised text with its punctuation made spaces."""
+    return F.regexp_replace(F.col(key) if isinstance(key, str) else key, r"[^\p{L}\p{N}\s]+", " ")
 
-def shingles(some: str, size: int = SHINGLE) -> Column:
-    """Different runs of ``size`` words of a column of words; a shorter text is one run. The words must be a column of their
-    own: an expression would be worked out again for every run."""
-    runs = F.transform(F.sequence(F.lit(1), F.greatest(F.size(some) - (size - 1), F.lit(1))), lambda i: F.array_join(F.slice(some, i, size), " "))
-    return F.array_distinct(F.when(F.size(some) > 0, runs).otherwise(F.array().cast("array<string>")))
 
-
-def base_hashes(some: Column | str) -> Column:
-    """The leading 31 bits of each shingle's MD5 digest, which any SQL engine can work out."""
-    return F.transform(some, lambda s: F.shiftright(F.conv(F.substring(F.md5(s.cast("binary")), 1, 8), 16, 10).cast("long"), 1))
+def shingle_hashes(text: str, size: int = SHINGLE) -> np.ndarray:
+    """The leading 31 bits of the MD5 digest (which any SQL engine can work out) of each different run of ``size`` words; a
+    shorter text is one run, a text without words has none."""
+    some = text.split()
+    runs = {" ".join(some[i : i + size]) for i in range(max(1, len(some) - size + 1))} if some else ()
+    return np.fromiter((int.from_bytes(md5(r.encode("utf-8", "surrogatepass")).digest()[:4], "big") >> 1 for r in runs), np.int64)
 
 
 PRIME = (1 << 31) - 1
@@ -51,35 +49,36 @@ def permutations(n: int = BANDS * ROWS) -> list[tuple[int, int]]:
     return [(1 + (i * 1_103_515_245 + 12_345) % (PRIME - 1), (i * 69_069 + 362_437) * 40_503 % PRIME) for i in range(1, n + 1)]
 
 
-def signature(hashes: Column | str, n: int = BANDS * ROWS) -> Column:
-    """Minimum of every hash function over the base hashes; null for no shingles. The products fit 64 bits."""
+def signature(text: Column | str, n: int = BANDS * ROWS, size: int = SHINGLE) -> Column:
+    """Minimum of every hash function over a text's shingles; null for a text without words.
+
+    One pass in Python: as an expression, the words would be split again for every shingle. The products fit 64 bits.
+    """
     factors, offsets = (np.array(x, dtype=np.int64)[:, None] for x in zip(*permutations(n), strict=True))
 
     @F.pandas_udf("array<long>")
-    def least(some: pd.Series) -> pd.Series:
-        def of(h: np.ndarray | None) -> np.ndarray | None:
-            if h is None or not len(h):
+    def least(texts: pd.Series) -> pd.Series:
+        def of(t: str | None) -> np.ndarray | None:
+            h = shingle_hashes(t or "", size)
+            if not len(h):
                 return None
             low = np.full(n, PRIME, dtype=np.int64)
             # a long text in pieces, so that the table of all hashes stays small
             for at in range(0, len(h), 4096):
-                np.minimum(low, ((np.asarray(h[at : at + 4096], dtype=np.int64) * factors + offsets) % PRIME).min(axis=1), out=low)
+                np.minimum(low, ((h[at : at + 4096] * factors + offsets) % PRIME).min(axis=1), out=low)
             return low
 
-        return some.map(of)
+        return texts.map(of)
 
-    return least(hashes)
+    return least(text)
 
 
 def bands(df: DataFrame, id_col: str = "id", text_col: str = "text", n_bands: int = BANDS, rows: int = ROWS, size: int = SHINGLE) -> DataFrame:
     """``(id, band, key)``: a row for each document and band of its signature. Texts without words have none."""
-    # each step is a column of its own, so it is worked out once for all that use it
-    keyed = df.select(F.col(id_col).alias("id"), dedup_key(text_col).alias("__key"))
-    worded = keyed.select("id", plain_words("__key").alias("__words")).where(F.size("__words") > 0)
-    hashed = worded.select("id", base_hashes(shingles("__words", size)).alias("__hashes"))
-    signed = hashed.select("id", signature(F.col("__hashes"), n_bands * rows).alias("__signature"))
+    signed = df.select(F.col(id_col).alias("id"), signature(plain(dedup_key(text_col)), n_bands * rows, size).alias("__signature"))
     parts = F.array(*[F.struct(F.lit(b).alias("band"), F.md5(F.array_join(F.slice(F.col("__signature"), b * rows + 1, rows).cast("array<string>"), ",").cast("binary")).alias("key")) for b in range(n_bands)])
-    return signed.select("id", F.explode(parts).alias("p")).select("id", "p.band", "p.key")
+    # a text without words has null keys; a filter on the signature itself would work it out twice
+    return signed.select("id", F.explode(parts).alias("p")).select("id", "p.band", "p.key").where(F.col("key").isNotNull())
 
 
 def band_links(banded: DataFrame) -> DataFrame:

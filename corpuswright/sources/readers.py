@@ -28,16 +28,16 @@ def record(df: DataFrame, id_: Column, text: Column, source: str, license: str,
 def read_jsonl(spark: SparkSession, path: str, text_key: str = "text", id_key: str = "id", limit: int = -1) -> DataFrame:
     """Documents of JSON lines, plain or compressed; blank lines are skipped. A limit of 0 or less is none."""
     schema = StructType([StructField(id_key, StringType()), StructField(text_key, StringType()), StructField("metadata", MapType(StringType(), StringType()))])
-    df = spark.read.schema(schema).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.jsonl*").json(path)
+    df = spark.read.schema(schema).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json*").json(path)
     df = df.select(F.col(id_key).alias("id"), F.col(text_key).alias("text"), "metadata")
     return df.limit(limit) if limit > 0 else df
 
 
 def shard_names(spark: SparkSession, path: str) -> list[str]:
     """Shards below a folder in order, by Spark's own reader; warns where two differ only by their compression."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.jsonl*").option("recursiveFileLookup", "true").load(path).select("path")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json*").option("recursiveFileLookup", "true").load(path).select("path")
     names = sorted(r.path for r in files.collect())
-    stems = [n.removesuffix(".gz").removesuffix(".jsonl") for n in names]
+    stems = [n.removesuffix(".gz").removesuffix(".jsonl").removesuffix(".json") for n in names]
     for stem in sorted({s for s in stems if stems.count(s) > 1}):
         warnings.warn(f"more than one shard is called {stem}", RuntimeWarning, stacklevel=2)
     return names
