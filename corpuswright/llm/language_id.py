@@ -25,6 +25,8 @@ ORDER = 4
 #: Bounds of the training sample: bytes of all languages together, and of one language.
 SAMPLE_BYTES = 16_000_000
 LANGUAGE_BYTES = 1_000_000
+#: Characters of a piece of a long document.
+PIECE = 4096
 UNDETERMINED = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
@@ -82,7 +84,8 @@ class ContextTrees:
     """Frozen context trees of several languages."""
 
     def __init__(self, texts: dict[str, list[str]], order: int = ORDER) -> None:
-        self.languages, self.order = sorted(texts), order
+        # a language without a byte of text has no statistics, and would cost 8 bits whatever the byte
+        self.languages, self.order = sorted(k for k, some in texts.items() if any(some)), order
         n = len(self.languages)
         self.cost: list[np.ndarray] = []
         self.escape: list[np.ndarray] = []
@@ -150,16 +153,45 @@ class ContextTrees:
 
 
 def sample(df: DataFrame, label: str, keep: Column, total: int, each: int) -> dict[str, list[str]]:
-    """Whole texts by label: about ``each`` characters a label and ``total`` in all, chosen by a hash of the row's id."""
-    labelled = df.where(keep & F.col(label).isNotNull() & F.col("text").isNotNull())
-    sizes = {r[0]: r[1] for r in labelled.groupBy(label).agg(F.sum(F.length("text").cast("long"))).collect()}
-    share = F.lit(0.0)
-    for value, size in sizes.items():
-        share = F.when(F.col(label) == value, F.lit(min(1.0, min(each, total // len(sizes)) / max(size, 1)))).otherwise(share)
-    unit = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / F.lit(1_000_003.0)
-    out: dict[str, list[str]] = {value: [] for value in sizes}
-    for value, text in labelled.where(unit < share).select(label, "text").toLocalIterator():
-        out[value].append(text)
+    """Texts by label: up to about ``each`` characters a label and ``total`` in all, never none of a label that has text.
+
+    A document gives at most so many characters as let every document of its label give as much, or all it has: whole if it
+    has fewer, else in pieces of ``PIECE`` characters at even distances from a hashed start. Where one piece of each is still
+    too much, documents are chosen by a hash of their id and text. No label gives more than twice its bound and a piece;
+    labels of which all texts are empty are left out.
+    """
+    labelled = df.where(keep & F.col(label).isNotNull() & (F.length("text") > 0))
+    size = F.length("text").cast("long")
+    n_labels = labelled.select(label).distinct().count()
+    if not n_labels:
+        return {}
+    bound = max(1, min(each, total // n_labels))
+    piece = min(PIECE, bound)
+    caps = [piece << k for k in range(max(1, (bound // piece).bit_length()) + 1)]
+    pieces, share = F.lit(0), F.lit(0.0)
+    for value, *sums in labelled.groupBy(label).agg(*[F.sum(F.least(size, F.lit(c))) for c in caps]).collect():
+        fit = [k for k, s in enumerate(sums) if s <= bound]
+        pieces = F.when(F.col(label) == value, F.lit(1 << fit[-1] if fit else 1)).otherwise(pieces)
+        share = F.when(F.col(label) == value, F.lit(1.0 if fit else bound / sums[0])).otherwise(share)
+    # of two hashes: one chooses documents, one the places in them
+    unit = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_003)) / F.lit(1_000_003.0)
+    start = F.pmod(F.xxhash64("text", "doc_id"), F.lit(1_000_003)) / F.lit(1_000_003.0)
+    has = F.ceil(size / F.lit(piece))
+    some = F.expr(f"transform(sequence(0, pieces - 1), j -> substring(text, cast(floor((j + start) * has / pieces) as int) * {piece} + 1, {piece}))")
+    dealt = labelled.select(F.col(label).alias("label"), "text", pieces.alias("pieces"), share.alias("share"), unit.alias("unit"), start.alias("start"), has.alias("has"))
+    dealt = dealt.withColumn("texts", F.when(F.col("has") <= F.col("pieces"), F.array("text")).otherwise(some))
+    out: dict[str, list[str]] = {}
+    taken: dict[str, int] = {}
+    for value, texts in dealt.where("unit < share").select("label", "texts").toLocalIterator():
+        for text in texts:
+            if text and taken.get(value, 0) < 2 * bound:
+                out.setdefault(value, []).append(text)
+                taken[value] = taken.get(value, 0) + len(text)
+    # by chance none was chosen: the one with the least hash
+    missed = dealt.where(~F.col("label").isin(list(out))) if out else dealt
+    if len(out) < n_labels:
+        for value, texts in missed.groupBy("label").agg(F.min_by("texts", "unit")).collect():
+            out[value] = [t for t in texts if t]
     return out
 
 

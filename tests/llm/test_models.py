@@ -6,6 +6,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from corpuswright.llm import html_text, language_id, quality
 
@@ -95,6 +96,22 @@ def test_language_edges(spark):
     assert {(r.lang_pred, r.score) for r in none} == {("und", 0.0)}
 
 
+def test_language_sample_has_every_label(spark):
+    """Few long documents, one huge among small ones, repeated rows, an empty label: no label with text is left without."""
+    word = lambda a, n: " ".join(a[(i * i + i // 7) % len(a) :][:3] + a[i % len(a)] for i in range(n))
+    rows = [(i, word("abcdefgh", 30_000 + i), "long") for i in range(1, 4)]
+    rows += [(10, word("klmnopq", 100_000), "huge")] + [(100 + i, f"small text number {i} of this label", "huge") for i in range(200)]
+    rows += [(5, "the same row again", "same")] * 3000 + [(400 + i, "", "empty") for i in range(5)] + [(7, None, "null")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = language_id.sample(df, "lang", F.lit(True), 80_000, 20_000)
+    assert set(found) == {"long", "huge", "same"}
+    assert all(10_000 < sum(map(len, found[k])) <= 2 * 20_000 + language_id.PIECE for k in ("long", "huge"))
+    assert 0 < sum(map(len, found["same"])) <= 2 * 20_000 + language_id.PIECE
+    assert sum(t.startswith("small text") for t in found["huge"]) == 200
+    trees = language_id.ContextTrees({"a": ["the cat"], "b": [], "c": [""]})
+    assert trees.languages == ["a"]
+
+
 PAGES = [
     ("<html><body><nav><a href=/>Home</a></nav><article><h1>Title</h1><p>First &amp; second\n  line.</p><p>Another paragraph, longer than the first.</p></article><footer>&copy; me</footer></body></html>", "Title\nFirst & second line.\nAnother paragraph, longer than the first."),
     ("<body><header><h1>Site</h1><ul class=menu><li><a href=/>A</a></ul></header><main><p>The text of the page is here, and it is long enough to read.</p><aside>Related: <a href=x>x</a></aside><form><label>Mail</label><input></form></main><section id=comments><p>First! This is a reader's comment, as long as the text itself is.</p></section></body>", "The text of the page is here, and it is long enough to read."),
