@@ -22,7 +22,9 @@ from pyspark.sql import functions as F
 from corpuswright.llm.common import batches
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(>|\Z)", re.S)
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=][^\s\"'>/=]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+#: Class names that say what is beside or not in an element, not what it is.
+_BESIDE = re.compile(r"(?:^|(?<=\s))(?:has|no|with|without|not|show|hide)[_-]\S*", re.I)
 _SPACE = re.compile(r"\s+")
 _SENTENCE = re.compile(r"[.!?:;…。][\"'”’)\]]*$")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -55,15 +57,19 @@ class Block:
     #: Within an article or main part; within something that surrounds articles.
     inside: bool
     chrome: bool
+    #: Boilerplate by a class or id: of an element within the article, or without one; of an element around the article.
+    soft: bool
+    wrapped: bool
 
 
 class _Element:
-    __slots__ = ("chrome", "dropped", "inside", "link", "number", "tag", "weak")
+    __slots__ = ("chrome", "dropped", "inside", "link", "number", "soft", "tag", "weak", "wrapped")
 
     def __init__(self, tag: str, number: int, parent: _Element | None, attributes: str) -> None:
         self.tag, self.number = tag, number
         up = parent
         self.inside, self.chrome, self.weak = (up.inside, up.chrome, up.weak) if up else (False, False, False)
+        self.soft, self.wrapped = (up.soft, up.wrapped) if up else (False, False)
         self.dropped = tag in DROPPED or bool(up and up.dropped)
         self.link = tag == "a" or bool(up and up.link)
         names = role = ""
@@ -77,19 +83,23 @@ class _Element:
                         role = value.lower()
                     case "hidden":
                         self.dropped = True
-                    case _:
+                    case "aria-hidden":
                         self.dropped |= value.lower() == "true"
+            names = _BESIDE.sub(" ", names)
         if tag in ("nav", "aside", "footer", "menu", "search") or role in _ROLES:
             self.chrome = True
         elif tag in ("body", "html"):
             pass
-        elif names and _CHROME.search(names) and tag not in ("article", "main") or tag == "article" and "comment" in names.lower():
+        elif tag == "article" and "comment" in names.lower():
             self.chrome = True
+        elif names and tag not in ("article", "main") and role not in ("main", "article") and _CHROME.search(names):
+            self.soft = True
         elif tag in ("form", "header"):
             # a form or header around an article says nothing of the article
             self.weak = True
         elif tag in ("article", "main") or role in ("main", "article"):
-            self.inside, self.weak = True, False
+            # so says the class of something around an article little of the article
+            self.inside, self.weak, self.soft, self.wrapped = True, False, False, self.wrapped or self.soft
 
 
 def blocks(page: str) -> list[Block]:
@@ -105,7 +115,7 @@ def blocks(page: str) -> list[Block]:
             text = _SPACE.sub(" ", "".join(parts)).strip()
             if text:
                 holder = next((e for e in reversed(stack) if e.tag in BLOCK), stack[0])
-                out.append(Block(text, min(linked, len(text)), tuple(e.number for e in stack if e.tag in BLOCK), holder.tag, stack[-1].inside, stack[-1].chrome or stack[-1].weak and holder.tag not in ("h1", "h2")))
+                out.append(Block(text, min(linked, len(text)), tuple(e.number for e in stack if e.tag in BLOCK), holder.tag, stack[-1].inside, stack[-1].chrome or stack[-1].weak and holder.tag not in ("h1", "h2"), stack[-1].soft, stack[-1].wrapped))
             parts.clear()
         linked = 0
 
@@ -181,6 +191,8 @@ def blocks(page: str) -> list[Block]:
 
 #: Costs are whole numbers: a hundredth of a nat. Marks of structure outweigh any number of neighbours.
 CERTAIN = 10_000
+#: Cost of a class or id that names boilerplate; long sentences outweigh it where the page has no other main part.
+SOFT = 160
 NEAR = 64
 
 
@@ -197,7 +209,9 @@ def cost(block: Block, has_main: bool) -> int:
     score += min(n, 400) * 0.5
     score += 60 if _SENTENCE.search(block.text) else 0
     score -= 320 * share if n < 400 or share > 0.6 else 0
-    if block.inside:
+    if block.soft or block.wrapped:
+        score -= SOFT + 500 * has_main
+    elif block.inside:
         score += 400
     elif has_main:
         score -= 500
@@ -285,7 +299,8 @@ def distance(a: tuple[int, ...], b: tuple[int, ...]) -> int:
 
 def tie(a: Block, b: Block, steps: int) -> int:
     """Cost of labelling two blocks differently; small across the edge of a part that is boilerplate by its own marks."""
-    return max(1, int(NEAR * 2 ** -min(max(steps, 2) / 2 - 1, 6)) >> (3 if a.chrome != b.chrome else 0))
+    apart = (a.chrome or a.soft or a.wrapped) != (b.chrome or b.soft or b.wrapped)
+    return max(1, int(NEAR * 2 ** -min(max(steps, 2) / 2 - 1, 6)) >> (3 if apart else 0))
 
 
 def main_text(page: str | None) -> str:
@@ -293,7 +308,12 @@ def main_text(page: str | None) -> str:
     found = blocks(page or "")
     if not found:
         return ""
-    has_main = any(b.inside and not b.chrome for b in found)
+    has_main = any(b.inside and not (b.chrome or b.soft or b.wrapped) for b in found)
+    if not has_main:
+        # the page's only articles stand in elements with such classes
+        for b in found:
+            b.wrapped = False
+        has_main = any(b.inside and not (b.chrome or b.soft) for b in found)
     edges, last_of = [], {}
     for i, b in enumerate(found):
         if i:
