@@ -1,10 +1,13 @@
 """Harmonic packing of token sequences, with no shuffle.
 
-A bin holds ``capacity`` tokens (a power of two). Class ``j`` (1, 2, 4, ..., capacity) takes pieces of exactly
-``capacity / j`` tokens, and each of its bins takes exactly ``j`` of them, so a full bin has no padding. Documents are cut
-into whole bins and then by the binary digits of what is left, longest piece first, so every piece belongs to a class.
-Each task fills the bins of its own rows and knows nothing of other tasks. The bins that a task leaves unfilled are split
-into sequences whose lengths are powers of two, which are not padded: over any input, padding is zero.
+A bin holds ``capacity`` tokens. Documents are cut into whole bins first. What is left of one, ``n`` tokens, is of class ``k``
+if ``capacity / (k + 1) < n <= capacity / k``, and a bin of class ``k`` takes exactly ``k`` pieces of its class. What they
+leave free is less than any piece of the class, so the head of the next such piece fills it exactly; the tail of that piece
+is classed anew by its own length. So there is a cut for each bin at most, and a full bin has no padding.
+
+Each task fills the bins of its own rows and knows nothing of other tasks. What its open bins hold in the end (less than
+one bin for each of some ``2 * sqrt(capacity)`` classes) is run together into full bins, and the last of these is cut into
+sequences whose lengths are powers of two, which are not padded: over any input, padding is zero.
 """
 
 from __future__ import annotations
@@ -101,53 +104,63 @@ def encoder(path: str) -> WordEncoder:
 
 
 class HarmonicPacker:
-    """Deals pieces of one task to bins. ``first`` is the task's first sequence id."""
+    """Deals the documents of one task to bins. ``first`` is the task's first sequence id.
+
+    A piece is ``(document, start, ids)``, the ids four bytes each; a placed one has its sequence and offset behind these.
+    """
 
     def __init__(self, capacity: int, first: int) -> None:
         if capacity & (capacity - 1) or capacity < 1:
             raise ValueError("the capacity must be a power of two")
         self.capacity, self.next = capacity, first
-        self.open: dict[int, list] = {}
+        self.open: dict[int, list[tuple]] = {}
+        self.free: dict[int, int] = {}
 
-    def _take(self) -> int:
+    def _close(self, pieces: list[tuple]) -> list[tuple]:
+        sequence, out, at = self.next, [], 0
         self.next += 1
-        return self.next - 1
-
-    def pieces(self, n: int) -> Iterator[tuple[int, int]]:
-        """``(start, length)`` of the cuts of ``n`` tokens."""
-        start = 0
-        while n - start >= self.capacity:
-            yield start, self.capacity
-            start += self.capacity
-        size = self.capacity >> 1
-        while start < n:
-            if n - start >= size:
-                yield start, size
-                start += size
-            size >>= 1
-
-    def add(self, row: tuple, size: int) -> list[tuple]:
-        """Puts a piece into its class; a bin that is full comes back as ``(*row, sequence, offset)``."""
-        bin_ = self.open.setdefault(size, [])
-        bin_.append(row)
-        if len(bin_) * size < self.capacity:
-            return []
-        self.open[size] = []
-        return self._close(bin_, size)
-
-    def _close(self, rows: list[tuple], size: int) -> list[tuple]:
-        sequence = self._take()
-        return [(*row, sequence, i * size) for i, row in enumerate(rows)]
+        for document, start, ids in pieces:
+            out.append((document, start, ids, sequence, at))
+            at += len(ids) // 4
+        return out
+
+    def add(self, document: object, ids: bytes) -> list[tuple]:
+        """Deals a document; the pieces of all bins that it fills come back, each with its sequence and offset."""
+        out: list[tuple] = []
+        at, n = 0, len(ids) // 4
+        while n - at >= self.capacity:
+            out += self._close([(document, at, ids[4 * at : 4 * (at + self.capacity)])])
+            at += self.capacity
+        while at < n:
+            kind = self.capacity // (n - at)
+            bin_ = self.open.setdefault(kind, [])
+            free = self.free.setdefault(kind, self.capacity)
+            size = n - at if len(bin_) < kind else free
+            bin_.append((document, at, ids[4 * at : 4 * (at + size)]))
+            at += size
+            self.free[kind] = free - size
+            if free == size:
+                out += self._close(self.open.pop(kind))
+                del self.free[kind]
+        return out
 
     def rest(self) -> Iterator[tuple]:
-        """The unfilled bins, as sequences of power-of-two lengths."""
-        for size, rows in sorted(self.open.items()):
-            at = 0
-            while at < len(rows):
-                many = 1 << ((len(rows) - at).bit_length() - 1)
-                yield from self._close(rows[at : at + many], size)
-                at += many
-        self.open = {}
+        """The pieces of the open bins, run together into full bins and sequences of power-of-two lengths."""
+        left = [piece for _, pieces in sorted(self.open.items()) for piece in pieces]
+        self.open, self.free = {}, {}
+        total = sum(len(ids) // 4 for *_, ids in left)
+        sizes = [self.capacity] * (total // self.capacity) + [1 << b for b in range(self.capacity.bit_length() - 2, -1, -1) if total % self.capacity >> b & 1]
+        left.reverse()
+        for size in sizes:
+            pieces = []
+            while size:
+                document, start, ids = left.pop()
+                take = min(size, len(ids) // 4)
+                pieces.append((document, start, ids[: 4 * take]))
+                if 4 * take < len(ids):
+                    left.append((document, start + take, ids[4 * take :]))
+                size -= take
+            yield from self._close(pieces)
 
 
 SCHEMA = "doc_id {}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
@@ -167,8 +180,8 @@ def pack(
 
     ``with_ids`` adds the ids themselves (``ids``: array of int). Null and empty texts are documents of ``end_id`` alone.
     Repeated rows and null ids are packed as they come; other columns are not read. An empty table gives no rows.
-    Bins depend on how rows are dealt to tasks; a task that is run again gives the same bins. Memory: the open bins'
-    descriptions (under twice ``capacity`` pieces) and one batch.
+    Bins depend on how rows are dealt to tasks; a task that is run again gives the same bins. Memory: one batch, and the open
+    bins, of which each class has one at most.
     """
     path = tokenizer or default_tokenizer()
 
@@ -178,8 +191,10 @@ def pack(
         packer = HarmonicPacker(capacity, (context.partitionId() if context else 0) << 33)
         tail = int(end_id).to_bytes(4, "little")
 
-        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-            doc, start, length, crc, total, ids, sequence, offset = zip(*rows, strict=True)
+        def batch_of(placed: list[tuple]) -> pa.RecordBatch:
+            documents, start, ids, sequence, offset = zip(*placed, strict=True)
+            doc, total = zip(*documents, strict=True)
+            length, crc = [len(x) // 4 for x in ids], list(map(zlib.crc32, ids))
             arrays = [pa.array(doc, doc_type), *(pa.array(x, pa.int64()) for x in (start, length, crc, total, sequence, offset))]
             if with_ids:
                 arrays.append(pa.array([np.frombuffer(x, dtype="<u4").astype("int32") for x in ids], pa.list_(pa.int32())))
@@ -191,10 +206,7 @@ def pack(
             doc_type, out = batch.schema.field("doc_id").type, []
             for doc, ids in zip(batch.column("doc_id").to_pylist(), ids_of(texts), strict=True):
                 ids += tail
-                total = len(ids) // 4
-                for start, size in packer.pieces(total):
-                    piece = ids[4 * start : 4 * (start + size)]
-                    out += packer.add((doc, start, size, zlib.crc32(piece), total, piece if with_ids else None), size)
+                out += packer.add((doc, len(ids) // 4), ids)
             if out:
                 yield batch_of(out)
         if out := list(packer.rest()):

@@ -45,21 +45,49 @@ def test_packing(spark, docs):
             assert offset == at
             at += length
         assert at <= 4096 and at & (at - 1) == 0
+    tasks = 3
+    assert len(rows) < docs.count() + 2 * sum(r.length for r in rows) / 4096 + 140 * tasks
     full = sum(sum(x for _, x in s) == 4096 for s in sequences.values())
     assert full > 0.8 * sum(r.length for r in rows) / 4096
     assert packing.pack(docs.where("false")).count() == 0
 
 
+def dealt(packer, sizes):
+    """All placed pieces of documents of so many tokens, as (document, start, size, sequence, offset)."""
+    placed = [p for i, n in enumerate(sizes) for p in packer.add(i, b"abcd" * n)]
+    return [(d, s, len(ids) // 4, q, o) for d, s, ids, q, o in placed], [(d, s, len(ids) // 4, q, o) for d, s, ids, q, o in packer.rest()]
+
+
 def test_harmonic_classes():
-    packer = packing.HarmonicPacker(8, 100)
-    assert list(packer.pieces(21)) == [(0, 8), (8, 8), (16, 4), (20, 1)]
-    assert packer.add(("a",), 4) == [] and packer.add(("b",), 4) == [("a", 100, 0), ("b", 100, 4)]
-    packer.add(("c",), 2), packer.add(("d",), 2), packer.add(("e",), 2)
-    assert list(packer.rest()) == [("c", 101, 0), ("d", 101, 2), ("e", 102, 0)]
+    # two of a class, and the head of a third; its tail is of another class
+    closed, rest = dealt(packing.HarmonicPacker(16, 100), [6, 7, 7, 40, 16])
+    assert closed == [(0, 0, 6, 100, 0), (1, 0, 7, 100, 6), (2, 0, 3, 100, 13), (3, 0, 16, 101, 0), (3, 16, 16, 102, 0), (4, 0, 16, 103, 0)]
+    assert rest == [(3, 32, 8, 104, 0), (2, 3, 4, 105, 0)]
+    # pieces that fit exactly need no filler
+    closed, rest = dealt(packing.HarmonicPacker(16, 0), [4, 4, 4, 4, 8, 8])
+    assert closed == [(0, 0, 4, 0, 0), (1, 0, 4, 0, 4), (2, 0, 4, 0, 8), (3, 0, 4, 0, 12), (4, 0, 8, 1, 0), (5, 0, 8, 1, 8)] and rest == []
     with pytest.raises(ValueError):
         packing.HarmonicPacker(12, 0)
 
 
+def test_harmonic_bins_hold_their_count_of_their_class():
+    random = np.random.default_rng(4)
+    sizes = np.exp(random.uniform(0, 9.2, 5000)).astype(int).tolist()
+    packer = packing.HarmonicPacker(4096, 0)
+    closed, rest = dealt(packer, sizes)
+    bins = defaultdict(list)
+    for piece in closed:
+        bins[piece[3]].append(piece)
+    for some in bins.values():
+        assert [p[4] for p in some] == np.cumsum([0, *(p[2] for p in some)]).tolist()[:-1] and sum(p[2] for p in some) == 4096
+        kind = 4096 // some[0][2]
+        assert all(4096 // p[2] == kind for p in some[:kind]) and len(some) <= kind + 1
+    assert sum(p[2] for p in closed + rest) == sum(sizes)
+    # whole bins, one cut a bin, and the end of the task
+    assert len(closed + rest) <= len(sizes) + 2 * sum(sizes) // 4096 + 140
+    assert all(n & (n - 1) == 0 for n in np.bincount([p[3] - packer.next + 200 for p in rest], [p[2] for p in rest]).astype(int).tolist() if n)
+
+
 def test_token_counts_equal_the_tokenizer(docs):
     from tokenizers import Tokenizer, decoders, models, pre_tokenizers
 
