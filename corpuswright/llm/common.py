@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpuswright.plans.storage import written
+
+__all__ = ["SLICE_CHARS", "WordCache", "batches", "fold", "map_arrow", "slices", "table", "written"]
+
 #: Characters of text that a Python worker handles at once.
 SLICE_CHARS = 8_000_000
 
@@ -56,13 +58,15 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
 
 
 class WordCache:
-    """Values for distinct words, bounded; emptied when it is full.
+    """Values for distinct words, bounded by entries and by characters; emptied when it is full.
 
-    A word's value is a pure function of the word, so emptying the cache changes only the time taken.
+    A word's value is a pure function of the word, so emptying the cache changes only the time taken. Beyond its bounds it
+    holds the words of one call at most.
     """
 
-    def __init__(self, compute: Callable[[list[str]], list], limit: int = 700_000) -> None:
-        self.compute, self.limit, self.of = compute, limit, {}
+    def __init__(self, compute: Callable[[list[str]], list], limit: int = 700_000, chars: int = 12_000_000) -> None:
+        self.compute, self.limit, self.chars, self.of = compute, limit, chars, {}
+        self.held = 0
 
     def learn(self, words: Iterable[list]) -> dict:
         """The mapping, with a value for each of the words."""
@@ -71,25 +75,12 @@ class WordCache:
             fresh.update(some)
         fresh.difference_update(self.of)
         if fresh:
-            if len(self.of) + len(fresh) > self.limit and self.of:
+            size = sum(map(len, fresh))
+            if self.of and (len(self.of) + len(fresh) > self.limit or self.held + size > self.chars):
                 self.of.clear()
+                self.held = 0
                 return self.learn(words)
             new = list(fresh)
             self.of.update(zip(new, self.compute(new), strict=True))
+            self.held += size
         return self.of
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """A folder that the driver and all executors share: ``spark.checkpoint.dir``, or a local one where it is unset."""
-    found = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getConf().get("spark.checkpoint.dir", "")
-    if not found:
-        found = f"file://{tempfile.mkdtemp(prefix='corpuswright-')}"
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows, written to the shared folder as Parquet and read back: computed once, and lineage ends there."""
-    path = f"{shared_dir(df.sparkSession)}/corpuswright/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from corpuswright.llm.common import WordCache, batches, map_arrow
 
 MARK = "▁"
-#: Longer words go through the scalar search, so that the stepwise one takes few steps.
+#: Longer words are searched one by one, so that the stepwise search takes few steps.
 LONG_WORD = 256
 WORDS_AT_ONCE = 40_000
 
@@ -54,7 +54,6 @@ class UnigramCounter:
         self.score = np.array([s for _, s in pieces], dtype=np.float64)
         self.length = np.array([len(p) for p, _ in pieces], dtype=np.int64)
         self.unknown = float(self.score.min()) - 10.0
-        self.table = dict(pieces)
         self.longest = int(self.length.max())
         self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
         for i, (piece, _) in enumerate(pieces):
@@ -63,22 +62,40 @@ class UnigramCounter:
             self.automaton.add_word(piece, i)
         self.automaton.make_automaton()
 
-    def scalar(self, word: str) -> int:
-        """One word, position by position; memory is the longest piece's length in entries."""
-        n = len(word)
-        best, count = [None] * (n + 1), [0] * (n + 1)
-        best[0] = 0.0
-        for start in range(n):
-            here, so_far, single = best[start], count[start], False
-            for size in range(1, min(self.longest, n - start) + 1):
-                score = self.table.get(word[start : start + size])
-                if score is not None:
-                    single |= size == 1
-                    if best[start + size] is None or here + score > best[start + size]:
-                        best[start + size], count[start + size] = here + score, so_far + 1
-            if not single and (best[start + 1] is None or here + self.unknown > best[start + 1]):
-                best[start + 1], count[start + 1] = here + self.unknown, so_far + len(word[start].encode("utf-8", "surrogatepass"))
-        return count[n]
+    def single(self, word: str) -> int:
+        """One word, match by match as the automaton lists them (by end, the longest first); holds as many positions as the
+        longest piece has characters."""
+        ring = self.longest + 1
+        best, count = [0.0] * ring, [0] * ring
+        done = 0
+        length, score, unknown = self.length, self.score, self.unknown
+
+        def pass_over(at: int) -> None:
+            """The character before ``at`` by itself, if no piece of it was found and nothing better reaches ``at``."""
+            here = best[(at - 1) % ring] + unknown
+            if not reached or here > best[at % ring]:
+                best[at % ring], count[at % ring] = here, count[(at - 1) % ring] + len(word[at - 1].encode("utf-8", "surrogatepass"))
+
+        reached = bare = True
+        for last, piece in self.automaton.iter(word):
+            while done <= last:
+                # ``done`` is the position that the matches read so far end at
+                if done and bare:
+                    pass_over(done)
+                done += 1
+                reached, bare = False, True
+            size = int(length[piece])
+            here = best[(done - size) % ring] + score[piece]
+            bare &= size != 1
+            if not reached or here > best[done % ring]:
+                best[done % ring], count[done % ring] = here, count[(done - size) % ring] + 1
+                reached = True
+        while done <= len(word):
+            if done and bare:
+                pass_over(done)
+            done += 1
+            reached, bare = False, True
+        return count[len(word) % ring]
 
     def counts(self, words: list[str]) -> list[int]:
         """Pieces of each word (without its leading mark)."""
@@ -89,7 +106,7 @@ class UnigramCounter:
             for i, n in zip(some, self._stepwise([MARK + words[i] for i in some]).tolist(), strict=True):
                 out[i] = n
         for i in set(range(len(words))).difference(short):
-            out[i] = self.scalar(MARK + words[i])
+            out[i] = self.single(MARK + words[i])
         return out
 
     def _stepwise(self, words: list[str]) -> np.ndarray:

@@ -104,10 +104,65 @@ def test_token_counts_equal_the_tokenizer(docs):
     assert token_counts.token_counts(docs.where("false")).count() == 0
 
 
-def test_stepwise_and_scalar_search_agree_on_ties():
-    counter = token_counts.UnigramCounter([("▁", -1.0), ("a", -1.0), ("b", -1.0), ("ab", -2.0), ("aba", -3.0), ("▁a", -2.0), ("ba", -2.0), ("bab", -2.5)])
-    words = ["", "a", "ab", "aba", "abab", "babab", "abcab", "zé", "ab" * 40, "b" * 7]
-    assert counter.counts(words) == [counter.scalar("▁" + w) for w in words]
+def viterbi_by_hand(pieces, word):
+    """Every position, every piece: the best score, of equals the piece that starts first."""
+    table, low = dict(pieces), min(s for _, s in pieces) - 10.0
+    best, count = [0.0], [0]
+    for end in range(1, len(word) + 1):
+        found = [(best[start] + table[word[start:end]], -start, count[start] + 1) for start in range(end) if word[start:end] in table]
+        if word[end - 1] not in table:
+            found.append((best[end - 1] + low, -(end - 1), count[end - 1] + len(word[end - 1].encode())))
+        top = max(found)
+        best.append(top[0]), count.append(top[2])
+    return count[-1]
+
+
+PIECES = [("▁", -1.0), ("a", -1.0), ("b", -1.0), ("ab", -2.0), ("aba", -3.0), ("▁a", -2.0), ("ba", -2.0), ("bab", -2.5), ("xyz", -1.5)]
+
+
+def test_searches_agree_with_the_plain_one():
+    counter = token_counts.UnigramCounter(PIECES)
+    words = ["", "a", "ab", "aba", "abab", "babab", "abcab", "zé", "ab" * 40, "b" * 7, "xyz", "xy", "zxyzy", "\x00a", "🙂b"]
+    random = np.random.default_rng(8)
+    words += ["".join(random.choice(list("aabbxyzé"), random.integers(1, 30))) for _ in range(300)]
+    wanted = [viterbi_by_hand(PIECES, "▁" + w) for w in words]
+    assert counter.counts(words) == wanted
+    assert [counter.single("▁" + w) for w in words] == wanted
+    long = ["".join(random.choice(list("abxyz"), n)) for n in (255, 256, 257, 900)]
+    assert counter.counts(long) == [viterbi_by_hand(PIECES, "▁" + w) for w in long]
+
+
+def test_long_words_go_through_the_automaton():
+    counter = token_counts.UnigramCounter(PIECES)
+    assert not hasattr(counter, "table")
+    read = []
+
+    class Watched:
+        def __init__(self, automaton):
+            self.automaton = automaton
+
+        def iter(self, text):
+            read.append(len(text))
+            return self.automaton.iter(text)
+
+    counter.automaton = Watched(counter.automaton)
+    assert counter.counts(["ab" * 5000]) == [viterbi_by_hand(PIECES, "▁" + "ab" * 5000)] and read == [10_001]
+
+
+def test_words_are_held_within_bounds():
+    from corpuswright.llm.common import WordCache
+
+    calls = []
+    cache = WordCache(lambda some: calls.append(len(some)) or [len(w) for w in some], limit=10, chars=100)
+    for i in range(30):
+        got = cache.learn([[f"{i}" * 30, "a", "b"]])
+        assert got["a"] == 1 and cache.held <= 100 and len(cache.of) <= 10
+    assert cache.learn([["x" * 1000, "y"]])["x" * 1000] == 1000 and cache.learn([["z"]])["z"] == 1 and cache.held == 1
+
+
+def test_columns_of_the_same_names_are_not_read(spark):
+    docs = spark.createDataFrame([(1, "a b", 9, "x", 5), (2, None, 8, None, None)], "doc_id long, text string, n_tokens int, n_words string, n_chars int")
+    assert sorted(map(tuple, token_counts.token_counts(docs).select("doc_id", "n_chars", "n_words").collect())) == [(1, 3, 2), (2, 0, 0)]
 
 
 def turns_of(spark, sf_dir):
@@ -135,7 +190,8 @@ def test_chat_digests(spark, sf_dir):
     sizes = defaultdict(int)
     for r in made.collect():
         sizes[r.conv_id] += len(r.text)
-        assert r.n_tokens <= chat.BUDGET or r.n_turns == 1
+        assert r.n_tokens <= chat.BUDGET or (r.n_turns == 1 and r.n_repeated <= 1)
+        assert r.n_tokens == chat.default_counter()([r.text])[0]
         if r.window and r.conv_id == -5:
             assert chat.parse(r.text)[0] == ("system", "be brief")
     assert {r.conv_id: r.formatted_chars for r in chat.digests(made).collect()} == sizes
@@ -144,12 +200,60 @@ def test_chat_digests(spark, sf_dir):
 
 def test_chat_history_is_repeated_and_masked(spark):
     rows = [(1, i, ("user", "assistant")[i % 2], f"t{i}") for i in range(9)]
-    made = chat.windows(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), budget=30, history_turns=1, history_tokens=10).orderBy("window").collect()
+    made = chat.windows(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), budget=60, history_turns=1, history_tokens=20).orderBy("window").collect()
     assert len(made) > 2 and all(r.n_repeated == 1 for r in made[1:])
     spoken = [chat.unescape(r.text[s.start : s.end]) for r in made for s in r.loss]
     assert spoken == ["t1", "t3", "t5", "t7"]
 
 
+def windows_by_hand(turns, budget, history_turns, history_tokens):
+    """(repeated turns, turns of the span) of every window, by trying every span and every history from the longest down."""
+    out, at = [], 0
+    size = lambda some: sum(turns[i][1] for i in some)
+    while at < len(turns):
+        system = [0] if turns[0][0] == "system" and at else []
+        own = [i for i in range(max(0, at - history_turns - bool(system)), at) if i not in system][-history_turns:] if history_turns else []
+        while own and (size(own) > history_tokens or size([*system, *own, at]) > budget):
+            own = own[1:]
+        end = len(turns)
+        while end > at + 1 and size([*system, *own, *range(at, end)]) > budget:
+            end -= 1
+        out.append((system + own, list(range(at, end))))
+        at = end
+    return out
+
+
+def test_windows_by_hand():
+    random = np.random.default_rng(6)
+    cases = [([("user", 300), ("assistant", 200), ("user", 1600)], 2048, 2, 512), ([("system", 300), ("assistant", 200), ("user", 1800)], 2048, 2, 512), ([("user", 5)] * 1500, 1_000_000, 2, 512)]
+    for _ in range(200):
+        n = int(random.integers(1, 40))
+        roles = ["system" if random.random() < 0.5 else "user", *random.choice(["user", "assistant", "system"], n - 1).tolist()]
+        cases.append((list(zip(roles, random.integers(1, random.choice([5, 30, 120]), n).tolist(), strict=True)), int(random.integers(20, 100)), int(random.integers(0, 4)), int(random.integers(0, 60))))
+    for turns, *limits in cases:
+        writer, made = chat.Windows(*limits), []
+        for i, (role, tokens) in enumerate(turns):
+            made += writer.add(role, str(i), tokens)
+        made += writer.rest()
+        found = []
+        for _, text, mask, repeated, own, tokens in made:
+            said = [int(t) for _, t in chat.parse(text)]
+            assert len(said) == repeated + own and tokens == sum(turns[i][1] for i in said) and len(mask) == sum(turns[i][0] == "assistant" for i in said[repeated:])
+            assert tokens <= limits[0] or (own == 1 and repeated == (turns[0][0] == "system" and said[-1] > 0))
+            found.append((said[:repeated], said[repeated:]))
+        assert found == windows_by_hand(turns, *limits), (turns, limits)
+
+
+def test_windows_of_many_turns_take_linear_time():
+    import time
+
+    began = time.process_time()
+    for budget in (2048, 10_000_000):
+        writer = chat.Windows(budget, 2, 512)
+        assert sum(own for i in range(200_000) for *_, own, _ in writer.add("user", "x", 5)) + sum(own for *_, own, _ in writer.rest()) == 200_000
+    assert time.process_time() - began < 20
+
+
 def lz78(text):
     seen, phrase = set(), ""
     for c in text:

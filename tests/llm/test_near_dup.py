@@ -6,7 +6,8 @@ import numpy as np
 import pytest
 import xxhash
 
-from corpuswright.llm import components, near_dup
+from corpuswright.llm import near_dup
+from corpuswright.operators import graph
 
 
 def print_by_hand(text):
@@ -107,11 +108,11 @@ def test_large_posting_list_equals_small_one():
 
 def test_components(spark):
     chain = [(i, i + 1) for i in range(200)] + [(1000, 1001), (1001, 1000), (5000, 5000), (1001, 1002), (None, 3)] + [(2000, 2000 + i) for i in range(1, 300)]
-    found = {r.node: r.root for r in components.components(spark.createDataFrame(chain, "a long, b long")).collect()}
+    found = {r.node: r.root for r in graph.components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert len({found[i] for i in range(201)}) == 1 and len({found[i] for i in (1000, 1001, 1002)}) == 1
     assert len({found[2000 + i] for i in range(300)}) == 1 and len(set(found.values())) == 3
     assert 5000 not in found and None not in found
-    assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+    assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
 def test_one_of_each(spark):
