@@ -2,11 +2,12 @@
 
 A conversation is written as windows of at most ``budget`` tokens, cut between turns: prefix sums of the turns' tokens give
 the longest span that fits. Each window starts with the conversation's system turn (if its first turn is one), then repeats
-a limited number of the turns before the span, then has the span itself. Only assistant texts of the span are under the
-loss mask; what is repeated is masked, so each assistant text is learned from once.
+a limited number of the turns before the span, as far as they and the span's first turn fit, then has the span itself. Only
+assistant texts of the span are under the loss mask; what is repeated is masked, so each assistant text is learned from once.
 
 A turn is ``<|im_start|>role\\ntext<|im_end|>\\n``. Within roles and texts a backslash is doubled and ``<|`` is written
 ``<\\|`` (a line feed in a role ``\\n``), so no text can pass for a control string, and ``parse`` gives back what went in.
+Tokens are counted in turns as they are written, control strings included.
 """
 
 from __future__ import annotations
@@ -14,8 +15,8 @@ from __future__ import annotations
 import hashlib
 import re
 from bisect import bisect_right
+from collections import deque
 from collections.abc import Callable, Iterator
-from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,8 +27,6 @@ BUDGET = 2048
 #: Of earlier turns repeated before a span: how many at most, and tokens at most.
 HISTORY_TURNS = 2
 HISTORY_TOKENS = 512
-#: Turns that are looked at together.
-LOOK = 512
 _ESCAPED = re.compile(r"\\(.)", re.S)
 
 
@@ -53,6 +52,11 @@ def parse(text: str) -> list[tuple[str, str]]:
     return out
 
 
+def formatted(role: str, text: str) -> tuple[str, str]:
+    """A turn as it is written: what comes before its text, and its text."""
+    return f"{START}{escape(role, True)}\n", escape(text)
+
+
 def default_counter() -> Callable[[list[str]], list[int]]:
     from corpuswright.llm.packing import default_tokenizer, encoder
 
@@ -61,62 +65,62 @@ def default_counter() -> Callable[[list[str]], list[int]]:
 
 
 class Windows:
-    """Writes the windows of one conversation, whose turns come in order; holds about ``LOOK`` turns."""
+    """Writes the windows of one conversation, whose turns come in order; holds the turns of one window and one more."""
 
     def __init__(self, budget: int, history_turns: int, history_tokens: int) -> None:
         self.budget, self.history_turns, self.history_tokens = budget, history_turns, history_tokens
         self.system: tuple | None = None
-        self.history: list[tuple] = []
-        self.waiting: list[tuple] = []
-        self.number = self.seen = 0
+        #: The last turns before the span, and what of them is repeated.
+        self.before: deque[tuple] = deque(maxlen=history_turns)
+        self.repeated: list[tuple] = []
+        self.span: list[tuple] = []
+        #: Prefix sums of the span's tokens, from those of the repeated turns on.
+        self.sums = [0]
+        self.number = 0
 
     def add(self, role: str, text: str, tokens: int) -> Iterator[tuple]:
-        turn = (role, text, tokens)
-        self.seen += 1
-        self.waiting.append(turn)
-        if len(self.waiting) >= LOOK:
-            yield from self.cut(False)
-
-    def cut(self, last: bool) -> Iterator[tuple]:
-        """Windows of the waiting turns; unless it is the last call, the turns of an unfinished span go on waiting."""
-        sums = [0, *accumulate(t[2] for t in self.waiting)]
-        done = 0
-        while done < len(self.waiting):
-            repeated = [self.system] if self.system else []
-            before = (self.history + self.waiting[:done])[-self.history_turns :] if self.history_turns else []
-            room = self.history_tokens
-            for i in range(len(before) - 1, -1, -1):
-                room -= before[i][2]
-                if room < 0:
-                    before = before[i + 1 :]
-                    break
-            repeated += before
-            used = sum(t[2] for t in repeated)
-            # the longest span within the budget; a turn that is too long by itself is a span
-            end = max(done + 1, bisect_right(sums, sums[done] + self.budget - used) - 1)
-            if end == len(self.waiting) and not last and done:
+        turn = (*formatted(role, text), tokens, role == "assistant")
+        self.sums.append(self.sums[-1] + tokens)
+        self.span.append(turn)
+        # the longest span within the budget; a turn that is too long by itself is a span
+        end = max(1, bisect_right(self.sums, self.budget) - 1)
+        if end < len(self.span):
+            yield self.write(end)
+            self.start(self.span[end:])
+        elif self.number == 0 and len(self.span) == 1 and role == "system":
+            self.system = turn
+
+    def start(self, span: list[tuple]) -> None:
+        """Begins a span (of one turn: the one that did not fit), and chooses what it repeats."""
+        room = self.budget - span[0][2] - (self.system[2] if self.system else 0)
+        room = min(room, self.history_tokens)
+        kept: list[tuple] = []
+        for turn in reversed(self.before):
+            room -= turn[2]
+            if room < 0:
                 break
-            if end == len(self.waiting) and not last and sums[end] + used <= self.budget and len(self.waiting) < 64 * LOOK:
-                break
-            yield self.write(repeated, self.waiting[done:end])
-            if self.number == 1 and self.waiting[0][0] == "system":
-                self.system = self.waiting[0]
-                self.history = []
-            done = end
-        kept = (self.history + self.waiting[:done])[-self.history_turns :] if self.history_turns else []
-        self.history = [t for t in kept if t is not self.system]
-        del self.waiting[:done]
-
-    def write(self, repeated: list[tuple], span: list[tuple]) -> tuple:
+            kept.append(turn)
+        self.repeated = [self.system] * bool(self.system) + kept[::-1]
+        self.span = span
+        self.sums = [sum(t[2] for t in self.repeated)]
+        for turn in span:
+            self.sums.append(self.sums[-1] + turn[2])
+
+    def write(self, end: int) -> tuple:
+        """The window of the span's first ``end`` turns."""
         parts, size, mask = [], 0, []
-        for i, (role, text, _) in enumerate([*repeated, *span]):
-            head, body = f"{START}{escape(role, True)}\n", escape(text)
-            if i >= len(repeated) and role == "assistant":
+        for i, (head, body, _, learned) in enumerate([*self.repeated, *self.span[:end]]):
+            if learned and i >= len(self.repeated):
                 mask.append({"start": size + len(head), "end": size + len(head) + len(body)})
             parts += head, body, END, "\n"
             size += len(head) + len(body) + len(END) + 1
+        self.before.extend(t for t in self.span[:end] if t is not self.system)
         self.number += 1
-        return self.number - 1, "".join(parts), mask, len(repeated), len(span), sum(t[2] for t in [*repeated, *span])
+        return self.number - 1, "".join(parts), mask, len(self.repeated), end, self.sums[end]
+
+    def rest(self) -> Iterator[tuple]:
+        if self.span:
+            yield self.write(len(self.span))
 
 
 WINDOW = "conv_id {}, window bigint, text string, loss array<struct<start:bigint,end:bigint>>, n_repeated bigint, n_turns bigint, n_tokens bigint"
@@ -129,7 +133,9 @@ def windows(df: DataFrame, budget: int = BUDGET, history_turns: int = HISTORY_TU
     ``text``: the formatted window; ``loss``: the spans of it under the loss mask; ``n_repeated``: how many of its first
     turns repeat earlier ones. Null roles and texts count as empty; turns with the same number (repeated rows too) all
     stay, in the order of role and text, a null number first; rows of a null ``conv_id`` are one conversation. A turn longer
-    than the budget is a window of its own, with what it repeats. An empty table gives no rows; other columns are not read.
+    than the budget (by itself, or with the system turn, which is never left out) is a window of its own without history; every
+    other window keeps the budget. An empty table gives no rows; other columns are not read. Time and memory do not depend
+    on how many turns a conversation has.
 
     One shuffle, on ``conv_id``; a conversation is streamed in turn order and never held whole, however long it is.
     """
@@ -149,18 +155,18 @@ def windows(df: DataFrame, budget: int = BUDGET, history_turns: int = HISTORY_TU
         for batch in it:
             kinds[0] = batch.schema.field("conv_id").type
             roles, texts = batch.column("role").to_pylist(), batch.column("text").to_pylist()
-            tokens = count([f"{r} {t}" for r, t in zip(roles, texts, strict=True)])
+            tokens = count([f"{''.join(formatted(r, t))}{END}\n" for r, t in zip(roles, texts, strict=True)])
             for conv, role, text, n in zip(batch.column("conv_id").to_pylist(), roles, texts, tokens, strict=True):
                 if conv != current:
                     if writer:
-                        ready += ((current, *w) for w in writer.cut(True))
+                        ready += ((current, *w) for w in writer.rest())
                     current, writer = conv, Windows(budget, history_turns, history_tokens)
-                ready += ((current, *w) for w in writer.add(role, text, n + 4))
+                ready += ((current, *w) for w in writer.add(role, text, n))
                 if len(ready) >= 1000:
                     yield batch_of(ready)
                     ready = []
         if writer:
-            ready += ((current, *w) for w in writer.cut(True))
+            ready += ((current, *w) for w in writer.rest())
         if ready:
             yield batch_of(ready)
 
