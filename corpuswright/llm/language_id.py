@@ -11,11 +11,11 @@ resolved, so a block of texts is scored by array look-ups; grams that no tree ha
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +28,7 @@ LANGUAGE_BYTES = 1_000_000
 #: Characters of a piece of a long document.
 PIECE = 4096
 UNDETERMINED = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 
