@@ -7,17 +7,20 @@ such states whose n-gram occurs nowhere else (so a state seen once is sure of no
 ``(c + 0.1) / (N + 0.1 * (V + 1))``. A text is read once from left to right: the state is carried along, failure arcs are
 followed until there is an arc, and log probabilities are summed (``Automaton.walk``).
 
-No machine holds the automaton. Texts are read once, in blocks, and each block asks for the counts of its own distinct
-n-grams, by hash ranges; the ranges sum what all blocks have and answer each block, which then has the part of the automaton
-that its texts can reach. Nothing is pruned: counts cover all training texts. What is sent is a block's distinct n-grams
-(sorted 64-bit hashes, as differences), so a frequent n-gram costs one entry a block, and no range is larger than another.
+No machine holds the whole automaton. Texts are read once, in blocks, and each block asks for the counts of its own distinct
+n-grams, by hash ranges; the ranges sum what all blocks have and answer each block. From the answers, and the sums over the
+corpus that smoothing needs, the states and arcs that some texts can reach are built, and these texts walk them. Nothing is
+pruned: counts cover all training texts. What is sent is a block's distinct n-grams (sorted 64-bit hashes, as differences),
+so a frequent n-gram costs one entry a block, and no range is larger than another. Blocks and ranges are as many as each
+other, and grow with the square root of a corpus beyond ``GROW_CHARS``: what a block sends to a range stays a bunch of
+n-grams, and neither number grows in proportion.
 """
 
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterable, Iterator
-from math import ceil, log10
+from collections.abc import Iterator
+from math import ceil, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -30,11 +33,12 @@ from corpuswright.llm.common import batches, fold, written
 ORDER = 2
 ADD = 0.1
 FOLDS = 10
-#: Characters of a block of texts, and of text whose n-grams fall into one hash range on average.
+#: Characters of a block of texts, and of text whose n-grams fall into one hash range on average; of a corpus up to which
+#: these are enough.
 BLOCK_CHARS = 16_000_000
-RANGE_CHARS = 64_000_000
+GROW_CHARS = 250_000_000_000
 LEAST_RANGES = 256
-#: Tokens of a row of counts.
+#: Tokens of the texts of one automaton.
 CHUNK_TOKENS = 300_000
 #: Hashes that stand for the end and the beginning of a text.
 END, BEGIN = np.uint64(1), np.uint64(2)
@@ -51,49 +55,6 @@ def magnitude(counts: np.ndarray) -> np.ndarray:
     return np.frexp(counts.astype(np.float64))[1]
 
 
-class Automaton:
-    """The whole automaton of a small corpus; what blocks work out piecewise, in its plain form."""
-
-    def __init__(self, texts: Iterable[str], order: int = ORDER) -> None:
-        self.order = order
-        self.count: list[Counter] = [Counter() for _ in range(order + 1)]
-        sequences = [[BEGIN, *words_of(t), END] for t in texts]
-        for some in sequences:
-            for k in range(1, order + 1):
-                self.count[k].update(tuple(some[i - k + 1 : i + 1]) for i in range(k - 1, len(some)))
-        self.begins = self.count[1][BEGIN,]
-        self.tokens = sum(self.count[1].values()) - self.begins
-        self.kinds = len(self.count[1]) - (self.begins > 0)
-        seen, single = Counter(), Counter()
-        for k in range(2, order + 1):
-            for gram, n in self.count[k].items():
-                bucket = k, self.count[k - 1][gram[:-1]].bit_length()
-                seen[bucket] += n
-                single[bucket] += n == 1
-        self.failure = {b: (single[b] + 0.5) / (seen[b] + 1.0) for b in seen}
-
-    def root(self, word: object) -> float:
-        return (self.count[1][word,] + ADD) / (self.tokens + ADD * (self.kinds + 1))
-
-    def arc(self, state: tuple, word: object) -> float:
-        """Probability of a word in a state (which need not exist: its failure arc is then free)."""
-        if not state:
-            return self.root(word)
-        shorter, n = self.arc(state[1:], word), self.count[len(state)][state]
-        if not n:
-            return shorter
-        e = self.failure.get((len(state) + 1, n.bit_length()), 1.0)
-        return (1 - e) * self.count[len(state) + 1][(*state, word)] / n + e * shorter
-
-    def walk(self, text: str) -> float:
-        """log10 of the probability of a text and its end."""
-        state, total = (BEGIN,) if self.order > 1 else (), 0.0
-        for word in [*words_of(text), END]:
-            total += log10(self.arc(state, word))
-            state = (*state, word)[-(self.order - 1) :] if self.order > 1 else ()
-        return total
-
-
 def squeezed(values: np.ndarray) -> bytes:
     """Numbers as compressed byte planes."""
     raw = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes()
@@ -208,14 +169,16 @@ def _answers(rows: list[dict]) -> Iterator[tuple]:
 
 
 def counted(docs: DataFrame, order: int = ORDER, folds: int = FOLDS) -> DataFrame:
-    """Rows of texts with the training counts of their n-grams at every position, and rows of statistics.
+    """Rows of texts with the training counts of their n-grams, and rows of statistics.
 
-    ``ids``, ``held`` and ``lengths`` tell the documents of a row; ``counts[k - 1]`` has for each position the count of the
-    n-gram of order ``k`` that ends there. Statistics have ``name``, ``bucket`` and ``n``.
+    ``ids``, ``held`` and ``lengths`` tell the documents of a row and ``words`` their words by number (``Grams``);
+    ``counts[k - 1]`` has the counts of the row's distinct n-grams of order ``k``. Statistics have ``name``, ``bucket`` and ``n``.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     chars = docs.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
-    ranges = max(LEAST_RANGES, ceil(chars / RANGE_CHARS))
+    block_chars = ceil(BLOCK_CHARS * max(1.0, sqrt(chars / GROW_CHARS)))
+    ranges = max(LEAST_RANGES, ceil(chars / block_chars))
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), ceil(chars / block_chars))
     narrow = docs.select("doc_id", (fold("doc_id", folds) == 0).alias("held"), "text")
     schema = f"dest bigint, kind int, block bigint, part bigint, ids array<{kind}>, held array<boolean>, lengths array<int>, data binary, more binary"
 
@@ -226,7 +189,7 @@ def counted(docs: DataFrame, order: int = ORDER, folds: int = FOLDS) -> DataFram
         for batch, some in batches(it, BLOCK_CHARS // 8):
             types = types or _types(batch.schema.field("doc_id").type)
             for text, doc, out in zip(some, batch.column("doc_id").to_pylist(), batch.column("held").to_pylist(), strict=True):
-                if texts and size + len(text) > BLOCK_CHARS:
+                if texts and size + len(text) > block_chars:
                     yield _batch(_asked(block, texts, ids, held, order, ranges), _NAMES, types)
                     texts, ids, held, size, block = [], [], [], 0, block + 1
                 texts.append(text)
@@ -253,7 +216,7 @@ def counted(docs: DataFrame, order: int = ORDER, folds: int = FOLDS) -> DataFram
         if waiting:
             yield _batch(list(_answers(waiting)), _NAMES, types)
 
-    names = ["ids", "held", "lengths", "counts", "name", "bucket", "n"]
+    names = ["ids", "held", "lengths", "words", "counts", "name", "bucket", "n"]
 
     def place(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, stream, answers, types = None, None, {}, None
@@ -261,7 +224,8 @@ def counted(docs: DataFrame, order: int = ORDER, folds: int = FOLDS) -> DataFram
 
         def done() -> Iterator[pa.RecordBatch]:
             ids, held, lengths = stream["ids"], stream["held"], np.array(stream["lengths"], dtype=np.int64)
-            made = Block(spread(stream["data"], np.uint64)[spread(stream["more"], np.uint32)], lengths, ~np.array(held, dtype=bool))
+            number = spread(stream["more"], np.uint32)
+            made = Block(spread(stream["data"], np.uint64)[number], lengths, ~np.array(held, dtype=bool))
             counts = []
             for k, (at, keys, which) in enumerate(made.grams(order), 1):
                 total = np.concatenate([np.zeros(0, np.uint64), *(spread(x, np.uint64) for x in answers.get(k, ()))])
@@ -281,11 +245,13 @@ def counted(docs: DataFrame, order: int = ORDER, folds: int = FOLDS) -> DataFram
             while first < len(lengths):
                 last = max(first + 1, int(np.searchsorted(ends, start + CHUNK_TOKENS, side="right")))
                 stop = int(ends[last - 1])
-                yield _batch([(ids[first:last], held[first:last], lengths[first:last].tolist(), [squeezed(c[start:stop]) for c in counts], None, None, None)], names, types)
+                some = Grams(number[start:stop], lengths[first:last], order)
+                own = [squeezed(c[start:stop][at]) for c, at in zip(counts, some.first, strict=True)]
+                yield _batch([(ids[first:last], held[first:last], lengths[first:last].tolist(), squeezed(number[start:stop]), own, None, None, None)], names, types)
                 first, start = last, stop
 
         for batch in it:
-            types = types or [pa.list_(batch.schema.field("ids").type.value_type), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.list_(pa.binary()), pa.string(), pa.int64(), pa.int64()]
+            types = types or [pa.list_(batch.schema.field("ids").type.value_type), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.binary(), pa.list_(pa.binary()), pa.string(), pa.int64(), pa.int64()]
             for i in range(batch.num_rows):
                 kind_, now = batch.column("kind")[i].as_py(), batch.column("block")[i].as_py()
                 if kind_ < 0:
@@ -302,27 +268,87 @@ def counted(docs: DataFrame, order: int = ORDER, folds: int = FOLDS) -> DataFram
         if stream:
             yield from done()
         if stats:
-            yield _batch([(None, None, None, None, name, bucket, n) for (name, bucket), n in stats.items()], names, types)
+            yield _batch([(None, None, None, None, None, name, bucket, n) for (name, bucket), n in stats.items()], names, types)
 
     asked = narrow.mapInArrow(ask, schema)
-    answered = asked.repartition("dest").sortWithinPartitions("dest").mapInArrow(answer, schema)
-    placed = answered.repartition("block").sortWithinPartitions("block", "kind", "part")
-    return written(placed.mapInArrow(place, f"ids array<{kind}>, held array<boolean>, lengths array<int>, counts array<binary>, name string, bucket bigint, n bigint"), "lm-counts")
-
-
-def log_probabilities(counts: list[np.ndarray], lengths: np.ndarray, tokens: int, kinds: int, failure: dict[tuple[int, int], float]) -> tuple[np.ndarray, np.ndarray]:
-    """log10 of each position's probability at the root alone, and in the automaton's state there (beginnings: 0)."""
-    place = np.arange(len(counts[0])) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    p = (counts[0] + ADD) / (tokens + ADD * (kinds + 1))
-    base = np.where(place > 0, np.log10(p), 0.0)
-    for k in range(2, len(counts) + 1):
-        state = np.zeros(len(p))
-        state[1:] = counts[k - 2][:-1]
-        state[place < k - 1] = 0
-        of = np.array([failure.get((k, b), 1.0) for b in range(65)])
-        e = of[magnitude(state)]
-        p = np.where(state > 0, (1 - e) * counts[k - 1] / np.maximum(state, 1) + e * p, p)
-    return base, np.where(place > 0, np.log10(p), 0.0)
+    answered = asked.repartition(parts, "dest").sortWithinPartitions("dest").mapInArrow(answer, schema)
+    placed = answered.repartition(parts, "block").sortWithinPartitions("block", "kind", "part")
+    return written(placed.mapInArrow(place, f"ids array<{kind}>, held array<boolean>, lengths array<int>, words binary, counts array<binary>, name string, bucket bigint, n bigint"), "lm-counts")
+
+
+class Grams:
+    """The distinct n-grams of some texts whose words have numbers, each text between a beginning and an end.
+
+    For each order up to ``order``: ``of[k - 1]`` has the n-gram that ends at each position (-1: its text begins too late),
+    ``first[k - 1]`` a position of each n-gram. N-grams are in order of their words' numbers, whoever works them out.
+    """
+
+    def __init__(self, words: np.ndarray, lengths: np.ndarray, order: int) -> None:
+        self.begins = np.cumsum(lengths) - lengths
+        place = np.arange(len(words)) - np.repeat(self.begins, lengths)
+        _, index, self.words = np.unique(words, return_index=True, return_inverse=True)
+        self.kinds = len(index)
+        self.first, self.of = [index], [self.words]
+        for k in range(2, order + 1):
+            at = np.flatnonzero(place >= k - 1)
+            _, index, which = np.unique(self.of[-1][at - 1] * self.kinds + self.words[at], return_index=True, return_inverse=True)
+            of = np.full(len(words), -1, dtype=np.int64)
+            of[at] = which
+            self.first.append(at[index])
+            self.of.append(of)
+
+
+class Automaton:
+    """The states and arcs that some texts can reach. States are numbered in steps of the number of different words, so a
+    state and a word together are one key; state 0 is the root."""
+
+    def __init__(self, grams: Grams, counts: list[np.ndarray], tokens: int, kinds: int, failure: dict[tuple[int, int], float]) -> None:
+        order, step = len(counts), grams.kinds
+        p = (counts[0] + ADD) / (tokens + ADD * (kinds + 1))
+        self.grams, self.base = grams, np.log10(p)
+        self.known = counts[0] > 0
+        self.arcs: dict[int, tuple[int, float]] = {}
+        self.failures: dict[int, tuple[int, float]] = {}
+        # number of the state of each n-gram of the order before; the root is the only one of order 0
+        state = np.zeros(1, dtype=np.int64)
+        fresh = 1
+        for k in range(1, order + 1):
+            first, count = grams.first[k - 1], counts[k - 1]
+            if k == 1:
+                context = shorter = np.zeros(len(first), dtype=np.int64)
+            else:
+                context, shorter = grams.of[k - 2][first - 1], grams.of[k - 2][first]
+                n = counts[k - 2][context]
+                e = np.array([failure.get((k, b), 1.0) for b in range(65)])[magnitude(n)]
+                p = np.where(n > 0, (1 - e) * count / np.maximum(n, 1) + e * p[shorter], p[shorter])
+            seen = count > 0
+            if k < order:
+                # an n-gram that was not seen is no state: the state there is that of its end
+                after = np.where(seen, (fresh + np.arange(len(first))) * step, state[shorter])
+                e = np.log10([failure.get((k + 1, b), 1.0) for b in range(65)])[magnitude(count)]
+                self.failures.update(zip(after[seen].tolist(), zip(state[shorter[seen]].tolist(), e[seen].tolist(), strict=True), strict=True))
+                fresh += len(first)
+            else:
+                after = state[shorter]
+            made = seen if k > 1 else np.ones(len(first), dtype=bool)
+            keys = state[context] + grams.words[first]
+            self.arcs.update(zip(keys[made].tolist(), zip(after[made].tolist(), np.log10(p[made]).tolist(), strict=True), strict=True))
+            state = after
+
+    def walk(self, begin: int, end: int) -> float:
+        """log10 of the probability of the words of the text at these positions, its end included; one pass, left to right."""
+        arc_of, failure_of, words = self.arcs.get, self.failures, self.grams.words
+        state, total = arc_of(int(words[begin]))[0], 0.0
+        for at in range(begin + 1, end, 1 << 20):
+            for word in words[at : min(end, at + (1 << 20))].tolist():
+                arc = arc_of(state + word)
+                while arc is None:
+                    state, cost = failure_of[state]
+                    total += cost
+                    arc = arc_of(state + word)
+                state, cost = arc
+                total += cost
+        return total
 
 
 def scores(docs: DataFrame, order: int = ORDER, folds: int = FOLDS) -> DataFrame:
@@ -330,7 +356,8 @@ def scores(docs: DataFrame, order: int = ORDER, folds: int = FOLDS) -> DataFrame
 
     The model learns from the rows outside the held-out fold. Null and empty texts are the end alone; rows that repeat an
     id are texts of their own; a null id counts as held out. Without training rows every probability is 1. An empty table
-    gives no rows; other columns are not read. Texts are not shuffled, but their words' numbers within a block are.
+    gives no rows; other columns are not read. A text longer than a block is a block of its own, which one task holds as
+    numbers. Texts are not shuffled, but their words' numbers within a block are.
     """
     table = counted(docs, order, folds)
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -343,11 +370,12 @@ def scores(docs: DataFrame, order: int = ORDER, folds: int = FOLDS) -> DataFrame
         for batch in it:
             for i in range(batch.num_rows):
                 lengths = np.array(batch.column("lengths")[i].as_py(), dtype=np.int64)
-                counts = [spread(x.as_py(), np.uint64) for x in batch.column("counts")[i]]
-                base, full = log_probabilities(counts, lengths, tokens, kinds, failure)
+                grams = Grams(spread(batch.column("words")[i].as_py(), np.uint32), lengths, order)
+                model = Automaton(grams, [spread(x.as_py(), np.uint64) for x in batch.column("counts")[i]], tokens, kinds, failure)
                 begin = np.cumsum(lengths) - lengths
-                known = counts[0] > 0
-                known[begin] = False
+                full = [model.walk(a, a + n) for a, n in zip(begin.tolist(), lengths.tolist(), strict=True)]
+                base, known = model.base[grams.words], model.known[grams.words]
+                base[begin], known[begin] = 0.0, False
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("ids")[i].values,
@@ -356,9 +384,9 @@ def scores(docs: DataFrame, order: int = ORDER, folds: int = FOLDS) -> DataFrame
                         pa.array(np.add.reduceat(known, begin, dtype=np.int64)),
                         pa.array(np.full(len(lengths), tokens, dtype=np.int64)),
                         pa.array(np.add.reduceat(base, begin)),
-                        pa.array(np.add.reduceat(full, begin)),
+                        pa.array(full, pa.float64()),
                     ],
                     names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
                 )
 
-    return table.where("name is null").select("ids", "held", "lengths", "counts").mapInArrow(walk, f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
+    return table.where("name is null").select("ids", "held", "lengths", "words", "counts").mapInArrow(walk, f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
