@@ -60,23 +60,19 @@ def test_edges(spark):
     assert near_dup.near_duplicates(df.where("false")).count() == 0
 
 
-def test_links_join_every_near_pair():
+def family(seed, n=300):
     """Random fingerprints in chains of one or two changed bits, close ones and far ones."""
-    random = np.random.default_rng(5)
-    prints = set(random.integers(0, 2**64, 300, dtype=np.uint64).tolist())
-    for p in list(prints)[:150]:
+    random = np.random.default_rng(seed)
+    prints = set(random.integers(0, 2**64, n, dtype=np.uint64).tolist())
+    for p in list(prints)[: n // 2]:
         for _ in range(random.integers(1, 6)):
             for b in random.choice(64, random.integers(1, 4), replace=False).tolist():
                 p ^= 1 << b
             prints.add(p)
-    prints = sorted(prints)
-    array = np.array(prints, dtype=np.uint64)
-    found = {}
-    for mask in near_dup._masks(2):
-        keys = array & np.uint64(mask)
-        for key in np.unique(keys):
-            for a, b in near_dup.forest(array[keys == key], mask ^ (2**64 - 1), 2):
-                found.setdefault(a & (2**64 - 1), set()).add(b & (2**64 - 1))
+    return sorted(prints)
+
+
+def joined(prints, found, bits=2):
     root = {p: p for p in prints}
 
     def top(x):
@@ -84,17 +80,57 @@ def test_links_join_every_near_pair():
             x = root[x]
         return x
 
-    for a, some in found.items():
-        for b in some:
-            assert (a ^ b).bit_count() <= 2
-            root[top(a)] = top(b)
-    roots = [top(p) for p in prints]
-    ids = list(range(len(prints)))
-    by_hand = groups(prints, ids)
+    for a, b in found:
+        a, b = int(a) & (2**64 - 1), int(b) & (2**64 - 1)
+        assert (a ^ b).bit_count() <= bits
+        root[top(a)] = top(b)
     first = {}
-    for i, r in enumerate(roots):
-        first.setdefault(r, i)
-    assert [first[r] for r in roots] == by_hand
+    for i, p in enumerate(prints):
+        first.setdefault(top(p), i)
+    return [first[top(p)] for p in prints]
+
+
+def test_links_join_every_near_pair():
+    prints = family(5)
+    array, ids = np.array(prints, dtype=np.uint64), list(range(len(prints)))
+    found = []
+    for mask in near_dup._masks(2):
+        keys = array & np.uint64(mask)
+        for key in np.unique(keys):
+            found += near_dup.forest(array[keys == key], mask ^ (2**64 - 1), 2)
+    assert joined(prints, found) == groups(prints, ids)
+
+
+def test_tallies_in_posting_lists_find_every_near_pair():
+    assert near_dup.list_masks(2) == [0xFFFFFFFF, 0xFFFF0000FFFF, 0xFFFF00000000FFFF, 0xFFFFFFFF0000, 0xFFFF0000FFFF0000, 0xFFFFFFFF00000000]
+    prints = family(6)
+    array, found = np.array(prints, dtype=np.uint64), []
+    for mask in near_dup.list_masks(2):
+        order = np.argsort(array & np.uint64(mask), kind="stable")
+        _, lists = np.unique(array[order] & np.uint64(mask), return_inverse=True)
+        a, b = near_dup.tallied(lists, array[order], 2)
+        assert (lists[a] == lists[b]).all()
+        found += zip(array[order][a].tolist(), array[order][b].tolist(), strict=True)
+    assert joined(prints, found) == groups(prints, list(range(len(prints))))
+
+
+@pytest.mark.parametrize("bits, most", [(1, 64), (2, 64), (2, 3), (3, 64), (3, 2)])
+def test_long_lists_are_dealt_again(spark, monkeypatch, bits, most):
+    """Fingerprints around a few centres, so that many share the bytes of a list."""
+    monkeypatch.setattr(near_dup, "LIST", most)
+    random, prints = np.random.default_rng(bits), set(family(7, 40))
+    for centre in random.integers(0, 2**64, 3, dtype=np.uint64).tolist():
+        for _ in range(150):
+            p = centre
+            for b in random.choice(64, random.integers(1, 7), replace=False).tolist():
+                p ^= 1 << b
+            prints.add(p)
+    prints = sorted(prints)
+    df = spark.createDataFrame([(p - 2**64 if p >> 63 else p,) for p in prints], "fp long").repartition(3)
+    found = [(r.a, r.b) for r in near_dup.links(df, bits).collect()]
+    array = np.array(prints, dtype=np.uint64)
+    every = [(p, int(q)) for p in prints for q in array[np.bitwise_count(array ^ np.uint64(p)) <= bits]]
+    assert joined(prints, found, bits) == joined(prints, every, bits)
 
 
 def test_large_posting_list_equals_small_one():
