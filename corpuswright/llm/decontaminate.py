@@ -4,7 +4,8 @@ Texts are compared as words (lower case, ASCII signs dropped). A pass over all d
 benchmark in them. Rare n-grams become seeds; where a stretch of ``STRETCH`` neighbouring n-grams of a test item has no rare
 one, the rarest that occurs becomes one. So common phrases seed nothing unless an item has nothing else there, and any copied
 run of ``STRETCH + n - 1`` words holds a seed. Seeds found in a document join the passage around them to the item, and a
-local alignment scores the two: words may be changed, left out or put in.
+local alignment scores the two: words may be changed, left out or put in. An item of fewer words than ``n`` is one seed, and
+is found wherever its words stand in a row.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ AGREE, DIFFER, GAP = 2, -1, -1
 SHARE = 0.5
 #: ... or at least that of so many agreeing words in a row.
 RUN_WORDS = 20
+#: Pairs of a seed's place and an item that are held at once.
+PAIRS = 2_000_000
 #: Items are handled in blocks of so many characters: what is sent to executors is bounded, whatever the benchmark's size.
 BLOCK_CHARS = 8_000_000
 _SIGNS = bytes(b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -49,15 +52,21 @@ class Items:
         self.vocabulary = {w: i for i, w in enumerate(dict.fromkeys(w for some in words for w in some))}
         self.words = [np.array([self.vocabulary[w] for w in some], dtype=np.int64) for some in words]
         self.base = len(self.vocabulary) + 1
-        keys, item, at = [], [], []
+        keys, item, at = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        #: Where each item's n-grams begin among all.
+        self.begin = np.zeros(len(self.words) + 1, dtype=np.int64)
+        #: Items of fewer words than an n-gram, by their words.
+        self.short: dict[tuple[int, ...], list[int]] = {}
         for i, some in enumerate(self.words):
-            k = self.keys(some) if len(some) >= gram else self.keys(np.concatenate((some, np.full(gram - len(some), self.base - 1)))) if len(some) else np.zeros(0, np.uint64)
+            k = self.keys(some)
+            self.begin[i + 1] = self.begin[i] + len(k)
+            if 0 < len(some) < gram:
+                self.short.setdefault(tuple(some.tolist()), []).append(i)
             keys.append(k)
             item.append(np.full(len(k), i))
             at.append(np.arange(len(k)))
-        self.key_at = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
-        self.item_at = np.concatenate(item) if item else np.zeros(0, np.int64)
-        self.word_at = np.concatenate(at) if at else np.zeros(0, np.int64)
+        self.key_at, self.item_at, self.word_at = np.concatenate(keys), np.concatenate(item), np.concatenate(at)
+        self.lengths = np.array([len(w) for w in self.words], dtype=np.int64)
         self.grams = np.unique(self.key_at)
         self.seeds = self.grams
 
@@ -77,9 +86,6 @@ class Items:
         for i, text in enumerate(texts):
             begin[i] = len(flat)
             flat.extend(map(get, words_of(text), repeat(-1)))
-            if len(flat) - begin[i] < self.gram:
-                # a text shorter than a seed is one seed, as short items are
-                flat += [self.base - 1] * (self.gram - (len(flat) - int(begin[i])))
             flat += gap
         begin[-1] = len(flat)
         return np.array(flat, dtype=np.int64), begin
@@ -108,7 +114,7 @@ class Items:
         rare = (count > 0) & (count <= max(RARE_TIMES, RARE_SHARE * positions))
         kept = np.flatnonzero(rare).tolist()
         for i in range(len(self.ids)):
-            place = np.searchsorted(self.grams, self.key_at[self.item_at == i])
+            place = np.searchsorted(self.grams, self.key_at[self.begin[i] : self.begin[i + 1]])
             some, known = rare[place], np.where(count[place] > 0, count[place], np.iinfo(np.int64).max)
             for a in range(max(1, len(place) - stretch + 1)) if len(place) else ():
                 least = a + int(np.argmin(known[a : a + stretch]))
@@ -149,21 +155,69 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
     return best
 
 
+def short_leaks(items: Items, coded: np.ndarray, begin: np.ndarray) -> Iterator[tuple[int, int, float, int, int, int]]:
+    """Leaks of the items of fewer words than an n-gram: the first place in each text where all their words stand in a row."""
+    for size in sorted({len(words) for words in items.short}):
+        wanted = {words: some for words, some in items.short.items() if len(words) == size}
+        keys = np.array(sorted(sum(w * items.base ** (size - 1 - i) for i, w in enumerate(words)) for words in wanted), dtype=np.int64)
+        n = len(coded) - size + 1
+        known = np.ones(n, dtype=bool)
+        for i in range(size):
+            known &= coded[i : i + n] >= 0
+        at = np.flatnonzero(known)
+        found = sum(coded[at + i] * items.base ** (size - 1 - i) for i in range(size))
+        place = np.minimum(np.searchsorted(keys, found), len(keys) - 1)
+        at, place = at[keys[place] == found], place[keys[place] == found]
+        text = np.searchsorted(begin, at, side="right") - 1
+        _, first = np.unique(text * len(keys) + place, return_index=True)
+        by_key = {sum(w * items.base ** (size - 1 - i) for i, w in enumerate(words)): some for words, some in wanted.items()}
+        for j in first.tolist():
+            t, word = int(text[j]), int(at[j] - begin[text[j]])
+            for i in by_key[int(keys[place[j]])]:
+                yield t, i, 1.0, AGREE * size, word, word + size
+
+
 def leaks_of(items: Items, texts: list[str], share: float = SHARE, run_words: int = RUN_WORDS) -> list[tuple[int, int, float, int, int, int]]:
     """``(text, item, share, score, first word, past the last word)`` of the leaks in texts, by number."""
     coded, begin = items.coded(texts)
+    out = list(short_leaks(items, coded, begin)) if items.short else []
     at, place = items.hits(coded, items.seeds)
-    out: list[tuple[int, int, float, int, int, int]] = []
     if not len(at):
         return out
     of = np.searchsorted(begin, at, side="right") - 1
     many = items.seed_from[place + 1] - items.seed_from[place]
-    source = np.repeat(np.arange(len(at)), many)
-    index = np.arange(len(source)) - np.repeat(np.cumsum(many) - many, many) + np.repeat(items.seed_from[place], many)
+    # whole texts, of as many pairs of a place and an item as may be held; of one text with more, some items after others
+    heads = np.append(np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1]))), len(of))
+    sums = np.concatenate(([0], np.cumsum(many)))[heads]
+    first = 0
+    while first < len(heads) - 1:
+        last = max(first + 1, int(np.searchsorted(sums, sums[first] + PAIRS, side="right")) - 1)
+        a, b = heads[first], heads[last]
+        ways = -(-int(sums[last] - sums[first]) // PAIRS) if last == first + 1 else 1
+        for way in range(ways):
+            out += _aligned(items, coded, begin, at[a:b], place[a:b], of[a:b], share, run_words, way, ways)
+        first = last
+    return out
+
+
+def _aligned(items: Items, coded: np.ndarray, begin: np.ndarray, at: np.ndarray, place: np.ndarray, of: np.ndarray, share: float, run_words: int, way: int, ways: int) -> list[tuple]:
+    """Leaks of the items whose number is ``way`` modulo ``ways``, from the places of seeds."""
+    if ways > 1:
+        # one seed's items are in order of their numbers
+        few = [(i, items.seed_item[items.seed_from[p] : items.seed_from[p + 1]]) for i, p in enumerate(place.tolist())]
+        kept = [(i, items.seed_from[place[i]] + np.flatnonzero(some % ways == way)) for i, some in few]
+        source = np.concatenate([np.full(len(k), i) for i, k in kept])
+        index = np.concatenate([k for _, k in kept])
+        if not len(index):
+            return []
+    else:
+        many = items.seed_from[place + 1] - items.seed_from[place]
+        source = np.repeat(np.arange(len(at)), many)
+        index = np.arange(len(source)) - np.repeat(np.cumsum(many) - many, many) + np.repeat(items.seed_from[place], many)
     text, item, word, pos = of[source], items.seed_item[index], items.seed_word[index], at[source]
     order = np.lexsort((pos, item, text))
     text, item, word, pos = text[order], item[order], word[order], pos[order]
-    length = np.array([len(w) for w in items.words])[item]
+    length = items.lengths[item]
     # passages: hits of an item whose reaches overlap
     low, high = pos - word - length // 2 - 2, pos - word + length + length // 2 + 2
     fresh = np.concatenate(([True], (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (pos[1:] - pos[:-1] > length[1:])))
@@ -232,8 +286,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, run_words
 
     ``share``: the alignment's score by the highest the item allows; the words are numbers of the document's words, the last
     not included; of several copies of an item in a document the best is told. A leak has ``share`` of the item's score, or
-    as much as ``run_words`` agreeing words. An item of fewer words than an n-gram has is found only where it is the whole
-    text. Null and empty texts and items match nothing; repeated documents give
+    as much as ``run_words`` agreeing words. An item of fewer words than an n-gram has is found wherever all its words stand in
+    a row, at its first place. Null and empty texts and items match nothing; repeated documents give
     repeated rows, repeated items one; items that are equal but for their id are all told. Empty tables give no rows.
 
     Documents are read twice for each block of items (there is one block for 8 MB of items) and never shuffled.
