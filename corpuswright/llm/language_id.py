@@ -5,6 +5,9 @@ texts and then frozen. A text's code length in a language is the sum over its by
 the longest context that the tree has predicts the byte, or escapes (method C: as many escapes as different bytes seen) to
 the next shorter one, down to a uniform distribution over 256 bytes. The language with the shortest code wins.
 
+A text whose shortest code is longer than that of genuine text with its characters in random order (``bounds``) is of no
+learned language: keyboard noise and encoded data are.
+
 The trees of all languages are laid out as hashed arrays of byte n-grams with one code length per language, escapes already
 resolved, so a block of texts is scored by array look-ups; grams that no tree has go to the next lower order.
 """
@@ -28,6 +31,9 @@ LANGUAGE_BYTES = 1_000_000
 #: Characters of a piece of a long document.
 PIECE = 4096
 UNDETERMINED = "und"
+#: Lengths for which a bound is worked out: powers of two up to this one; pieces of each; and the share of these in random
+#: order that cost less than the bound.
+LONGEST, PIECES, SHARE = 13, 400, 0.99
 _LETTER = regex.compile(r"\p{L}")
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
@@ -200,17 +206,48 @@ def train(df: DataFrame, folds: int = 5, order: int = ORDER, total: int = SAMPLE
     return ContextTrees(sample(df.select("doc_id", "text", "lang"), "lang", fold("doc_id", folds) != 0, total, each), order)
 
 
-def identify(df: DataFrame, trees: ContextTrees, carry: tuple[str, ...] = ()) -> DataFrame:
-    """``(doc_id, held_out, lang_pred, score, bits_per_byte)`` of every row, from its whole text alone.
+def bounds(trees: ContextTrees, texts: list[str], seed: int = 1) -> np.ndarray:
+    """The most bits a byte that a text of a learned language costs, by the number of binary digits of its bytes.
+
+    For each length: nearly the most (``SHARE``) that pieces of genuine texts cost whose characters are in random order, and
+    no less than genuine pieces do. A length that no text has takes the bound of the one below; without texts there is none.
+    """
+    random = np.random.default_rng(seed)
+    out = np.full(64, np.inf)
+    for k in range(LONGEST):
+        starts = [(text, at) for text in texts for at in range(0, len(text) - (1 << k) + 1, 1 << k)]
+        chosen = [starts[i] for i in random.permutation(len(starts))[:PIECES].tolist()]
+        pieces = [text[at : at + (1 << k)] for text, at in chosen]
+        if not pieces or not trees.languages:
+            out[k + 1 :] = out[k]
+            break
+        mixed = ["".join(p[i] for i in random.permutation(len(p)).tolist()) for p in pieces]
+        cost = [bits.min(axis=1) / np.maximum(length, 1) for bits, length in map(trees.code_lengths, (pieces, mixed))]
+        out[k + 1 :] = max(np.quantile(cost[0], SHARE), np.quantile(cost[1], SHARE))
+    return out
+
+
+def calibrated(df: DataFrame, folds: int = 5, order: int = ORDER, total: int = SAMPLE_BYTES, each: int = LANGUAGE_BYTES) -> tuple[ContextTrees, np.ndarray]:
+    """Trees as by ``train``, but for every tenth text of the sample; and the bounds, which these texts give."""
+    some = sample(df.select("doc_id", "text", "lang"), "lang", fold("doc_id", folds) != 0, total, each)
+    learned = {k: [t for i, t in enumerate(texts) if i % 10 != 9] for k, texts in some.items()}
+    trees = ContextTrees(learned, order)
+    return trees, bounds(trees, [t for k in sorted(some) for t in some[k][9::10]])
+
+
+def identify(df: DataFrame, trees: ContextTrees, carry: tuple[str, ...] = (), most: np.ndarray | None = None) -> DataFrame:
+    """``(doc_id, held_out, lang_pred, score, bits_per_byte, is_text)`` of every row, from its whole text alone.
 
     Null texts, and texts with no letter, are ``und`` with score 0; so is everything if no language was learned. Ties go
     to the language whose name sorts first. The score is the share of the best language when each language weighs
-    ``2 ** (-excess bits / sqrt(bytes))``. Columns named in ``carry`` are kept as well (none may have the name of a result).
+    ``2 ** (-excess bits / sqrt(bytes))``. ``is_text``: it has a letter, and costs no more than its length's bound in ``most``
+    (as ``bounds`` gives it; none: anything with a letter is). Columns named in ``carry`` are kept as well (none may have the name of a result).
     Repeated rows and null ids are kept; an empty table gives no rows. Narrow: one row in, one row out.
     """
     shared = df.sparkSession.sparkContext.broadcast(trees)
     more = [c for c in carry if c != "doc_id"]
     kinds = {f.name: f.dataType.simpleString() for f in df.select("doc_id", "text", *[c for c in more if c != "text"]).schema}
+    limit = np.full(64, np.inf) if most is None else most
     narrow = df.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "text", *[c for c in more if c != "text"])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,9 +262,10 @@ def identify(df: DataFrame, trees: ContextTrees, carry: tuple[str, ...] = ()) ->
                     if _LETTER.search(text):
                         best[i], score[i] = model.languages[top[i]], share[i]
             per_byte = (bits.min(axis=1) if model.languages else np.zeros(len(texts))) / np.maximum(length, 1)
+            is_text = (per_byte <= limit[np.frexp(length.astype(float))[1]]) & np.array([b != UNDETERMINED for b in best], dtype=bool)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("held_out"), pa.array(best, pa.string()), pa.array(score), pa.array(per_byte), *[batch.column(c) for c in more]],
-                names=["doc_id", "held_out", "lang_pred", "score", "bits_per_byte", *more],
+                [batch.column("doc_id"), batch.column("held_out"), pa.array(best, pa.string()), pa.array(score), pa.array(per_byte), pa.array(is_text), *[batch.column(c) for c in more]],
+                names=["doc_id", "held_out", "lang_pred", "score", "bits_per_byte", "is_text", *more],
             )
 
-    return narrow.mapInArrow(run, f"doc_id {kinds['doc_id']}, held_out boolean, lang_pred string, score double, bits_per_byte double" + "".join(f", `{c}` {kinds[c]}" for c in more))
+    return narrow.mapInArrow(run, f"doc_id {kinds['doc_id']}, held_out boolean, lang_pred string, score double, bits_per_byte double, is_text boolean" + "".join(f", `{c}` {kinds[c]}" for c in more))

@@ -34,6 +34,40 @@ def test_quality_does_not_read_other_columns(spark, docs):
     assert {r.doc_id: r.score for r in quality.score(other, model).collect()} == plain
 
 
+def test_scores_against_plain_average_and_softmax(spark, docs):
+    """Every feature's vector, averaged, through the layer and the softmax, one text after another."""
+    import zlib
+
+    random = np.random.default_rng(3)
+    vectors, layer, bias = random.normal(size=(quality.BUCKETS, 8)), random.normal(size=(8, 2)), random.normal(size=2)
+    model = quality.Model(vectors @ (layer[:, 1] - layer[:, 0]), float(bias[1] - bias[0]))
+
+    def bucket(key):
+        return ((key * 0x9E3779B97F4A7C15) % 2**64 >> 40) % quality.BUCKETS
+
+    def by_hand(text):
+        words = text.split()
+        words = words + [quality.REPEAT for a, b in zip(words, words[1:], strict=False) if a == b]
+        found = []
+        for w in words:
+            found.append(bucket(zlib.crc32(w.encode())))
+            code = [ord(c) + 1 for c in f"<{w}>"]
+            for n in quality.GRAMS:
+                for i in range(len(code) - n + 1):
+                    key = n
+                    for c in code[i : i + n]:
+                        key = (key * 0x100000001B3 + c) % 2**64
+                    found.append(bucket(key))
+        logits = (vectors[found].mean(axis=0) if found else np.zeros(8)) @ layer + bias
+        e = np.exp(logits - logits.max())
+        return float((e / e.sum())[1])
+
+    some = [(r.doc_id, r.text) for r in docs.where("n_chars < 2000").limit(60).collect()] + [(-1, None), (-2, "a"), (-3, "ab ab ab"), (-4, "日本 été 🙂 🙂"), (-5, " \t")]
+    made = {r.doc_id: r.score for r in quality.score(spark.createDataFrame(some, "doc_id long, text string"), model).collect()}
+    for i, text in some:
+        assert made[i] == pytest.approx(by_hand(text or ""), rel=1e-9, abs=1e-12), text
+
+
 def test_quality_edges(spark):
     rows = [(1, None), (2, ""), (3, " "), (4, "fine words"), (4, "fine words"), (None, "words"), (5, "word " * 200_000)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
@@ -45,8 +79,8 @@ def test_quality_edges(spark):
     assert quality.score(df.where("false"), quality.train(df, labels)).count() == 0
 
 
-def ppm_by_hand(train, text, order):
-    """Bits of a text under one language's tree: longest context first, escapes by method C, then 8 bits."""
+def ppm_counts(train, order):
+    """One language's tree: how often each byte came after each context."""
     count = {}
     for t in train:
         data = b"\x00" * order + t.lower().encode()
@@ -54,6 +88,11 @@ def ppm_by_hand(train, text, order):
             for k in range(order + 1):
                 context = count.setdefault(data[i - k : i], {})
                 context[data[i]] = context.get(data[i], 0) + 1
+    return count
+
+
+def ppm_bits(count, text, order):
+    """Bits of a text: longest context first, escapes by method C, then 8 bits."""
     bits, data = 0.0, b"\x00" * order + text.lower().encode()
     for i in range(order, len(data)):
         for k in range(order, -1, -1):
@@ -77,7 +116,7 @@ def test_code_lengths_by_hand():
     bits, length = trees.code_lengths(texts)
     for i, t in enumerate(texts):
         for j, language in enumerate(trees.languages):
-            assert bits[i, j] == pytest.approx(ppm_by_hand(train[language], t, 3)), (t, language)
+            assert bits[i, j] == pytest.approx(ppm_bits(ppm_counts(train[language], 3), t, 3)), (t, language)
     assert length.tolist() == [len(t.lower().encode()) for t in texts]
 
 
@@ -87,10 +126,10 @@ def test_language_on_held_out_rows(docs):
 
 
 def test_language_edges(spark):
-    rows = [(1, "the cat sat", "en"), (2, "le chat", "fr"), (3, None, "en"), (4, "12 !?", "fr"), (5, "", None), (6, "the cat", None), (None, "the cat", "en"), (6, "the cat", None), (7, "chat " * 100_000, None)]
-    df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, lang string, lang_pred string").drop("lang_pred")
+    rows = [(1, "the cat sat", "en"), (2, "le chat", "fr"), (3, None, "en"), (4, "12 !?", "fr"), (8, "½ ² Ⅷ ٣ _", "fr"), (9, "ª", "fr"), (5, "", None), (6, "the cat", None), (None, "the cat", "en"), (6, "the cat", None), (7, "chat " * 100_000, None)]
+    df = spark.createDataFrame([(*r, "x", 2.0, True) for r in rows], "doc_id long, text string, lang string, lang_pred string, score double, is_text boolean")
     out = {(r.doc_id, r.lang_pred) for r in language_id.identify(df, language_id.train(df)).collect()}
-    assert {(3, "und"), (4, "und"), (5, "und")} <= out
+    assert {(3, "und"), (4, "und"), (5, "und"), (8, "und")} <= out and (9, "und") not in out
     assert language_id.identify(df.where("false"), language_id.train(df)).count() == 0
     none = language_id.identify(df, language_id.train(df.where("lang is null"))).collect()
     assert {(r.lang_pred, r.score) for r in none} == {("und", 0.0)}
@@ -112,6 +151,26 @@ def test_language_sample_has_every_label(spark):
     assert trees.languages == ["a"]
 
 
+def test_bounds_apply_to_every_length():
+    """Clean prose of no kind that was learned stays at every length, noise and encoded data go at every length from a few words on."""
+    import base64
+
+    random = np.random.default_rng(4)
+    syllables = "the and for ing tion er ou re st en al ca do mi so lu pe ra to ne vi".split()
+    word = lambda: "".join(random.choice(syllables, random.integers(1, 4)))
+    learned = [" ".join(word() for _ in range(200)) + "." for _ in range(300)]
+    trees = language_id.ContextTrees({"a": learned[:270]})
+    most = language_id.bounds(trees, learned[270:])
+    judge = lambda texts: [c / max(n, 1) <= most[int(n).bit_length()] for c, n in zip(trees.code_lengths(texts)[0].min(axis=1), trees.code_lengths(texts)[1], strict=True)]
+    prose = "A storm came over the hills at night, and by morning every road into the small town was under water. People waited on their roofs for the boats to come."
+    sizes = [8, 20, 50, 99, 100, 101, 150, 600, 5000, 60_000]
+    assert all(judge([(prose + " ") * 500][:1]) + judge([((prose + " ") * 500)[:n] for n in sizes]))
+    for n in sizes[2:]:
+        noise = ["".join(random.choice(list("qwzxkjvbnmghfpyu"), n)) for _ in range(20)] + [base64.b64encode(random.bytes(n)).decode()[:n] for _ in range(20)]
+        assert not any(judge(noise)), n
+    assert np.isinf(language_id.bounds(language_id.ContextTrees({}), ["x"])).all() and np.isinf(language_id.bounds(trees, [])).all()
+
+
 PAGES = [
     ("<html><body><nav><a href=/>Home</a></nav><article><h1>Title</h1><p>First &amp; second\n  line.</p><p>Another paragraph, longer than the first.</p></article><footer>&copy; me</footer></body></html>", "Title\nFirst & second line.\nAnother paragraph, longer than the first."),
     ("<body><header><h1>Site</h1><ul class=menu><li><a href=/>A</a></ul></header><main><p>The text of the page is here, and it is long enough to read.</p><aside>Related: <a href=x>x</a></aside><form><label>Mail</label><input></form></main><section id=comments><p>First! This is a reader's comment, as long as the text itself is.</p></section></body>", "The text of the page is here, and it is long enough to read."),
