@@ -11,17 +11,36 @@ from pyspark.sql import functions as F
 PLACEHOLDERS = {"tc_kimlik": "<TC_KIMLIK>", "phone": "<TELEFON>", "iban": "<IBAN>", "plate": "<PLAKA>"}
 EMAIL, IP = "email@example.com", "22.214.171.124"
 
-#: Eleven digits that no digit touches.
-ID_PATTERN = r"(?<![0-9])[0-9]{11}(?![0-9])"
-#: TR, two check digits and 22 characters in groups of four; no digit before, no word character after.
-IBAN_PATTERN = r"(?i)(?<![0-9])TR[0-9]{2}(?:[ -]?[A-Z0-9]{4}){5}[ -]?[A-Z0-9]{2}(?![\p{L}\p{N}_])"
-#: A trunk or country prefix with a mobile or landline code, or a bare mobile code; then 3, 2 and 2 digits.
-PHONE_PATTERN = r"(?<![\p{L}\p{N}_])(?:(?:(?:\+|00)90|0)[\s.-]?\(?[2-5][0-9]{2}\)?|5[0-9]{2})[\s.-]?[0-9]{3}[\s.-]?[0-9]{2}[\s.-]?[0-9]{2}(?![\p{L}\p{N}_])"
-#: Province 01 to 81, one to three letters, two to four digits.
-PLATE_PATTERN = r"(?iU)\b(?:0[1-9]|[1-7][0-9]|8[01])\s?[A-ZÇĞİÖŞÜ]{1,3}\s?[0-9]{2,4}\b"
+_NO_WORD_BEFORE, _NO_WORD_AFTER = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
+_NO_DIGIT_BEFORE, _NO_DIGIT_AFTER = "(?<![0-9])", "(?![0-9])"
+
+
+def _grouped(unit: str, sizes: tuple[int, ...], separator: str) -> str:
+    """Groups of so many characters, each with an optional separator before it."""
+    return "".join(f"{separator}?{unit}{{{n}}}" for n in sizes)
+
+
+# Formats of the public standards.
+#: National identity numbers have eleven digits.
+ID_PATTERN = _NO_DIGIT_BEFORE + "[0-9]{11}" + _NO_DIGIT_AFTER
+#: ISO 13616, registry entry for Turkey: country, two check digits, 22 characters; printed in groups of four.
+_ACCOUNT_GROUPS = (4, 4, 4, 4, 4, 2)
+IBAN_PATTERN = "(?i)" + _NO_DIGIT_BEFORE + "TR[0-9]{2}" + _grouped("[A-Z0-9]", _ACCOUNT_GROUPS, "[ -]") + _NO_WORD_AFTER
+#: The national numbering plan: a code of three digits (2 to 4 is geographic, 5 mobile) and seven more, written 3-2-2. A code
+#: follows the trunk prefix or the country's, in brackets or not; only mobile numbers are written without either.
+_TRUNK = ("0", "[+]90", "0090")
+_CODE, _MOBILE, _NUMBER_GROUPS, _PHONE_SEPARATOR = "[2-5][0-9]{2}", "5[0-9]{2}", (3, 2, 2), "[\\s.-]"
+PHONE_PATTERN = _NO_WORD_BEFORE + f"(?:(?:{'|'.join(sorted(_TRUNK, key=len, reverse=True))}){_PHONE_SEPARATOR}?[(]?{_CODE}[)]?|{_MOBILE})" + _grouped("[0-9]", _NUMBER_GROUPS, _PHONE_SEPARATOR) + _NO_WORD_AFTER
+#: Number plates: a province (01 to 81), one to three letters, two to four digits.
+_PROVINCE = "(?:0[1-9]|[1-7][0-9]|8[01])"
+PLATE_PATTERN = rf"(?iU)\b{_PROVINCE}\s?[A-ZÇĞİÖŞÜ]{{1,3}}\s?[0-9]{{2,4}}\b"
 EMAIL_PATTERN = r"\b[A-Za-z0-9._%+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}\b"
 _BYTE = "(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 IP_PATTERN = rf"\b{_BYTE}(?:\.{_BYTE}){{3}}\b"
+#: RFC 4291: eight groups of hexadecimal digits, one run of them left out at most, or the last two an IPv4 address.
+_HEX = "[0-9A-Fa-f]{1,4}"
+_IP6_FORMS = [f"(?:{_HEX}:){{6}}{_BYTE}(?:\\.{_BYTE}){{3}}", f"(?:{_HEX}:){{7}}{_HEX}", *(f"(?:{_HEX}:){{1,{n}}}(?::{_HEX}){{1,{7 - n}}}" for n in range(1, 7)), f"::(?:[Ff]{{4}}:)?{_BYTE}(?:\\.{_BYTE}){{3}}", f"(?:{_HEX}:){{1,7}}:", f":(?::{_HEX}){{1,7}}"]
+IP6_PATTERN = r"(?<![0-9A-Za-z:.])(?:" + "|".join(_IP6_FORMS) + r")(?![0-9A-Za-z:]|\.[0-9])"
 
 
 def _digit(text: Column, place: int) -> Column:
@@ -93,5 +112,8 @@ def redact(df: DataFrame, text_col: str = "text", counts_col: str = "pii", *, ib
 
 
 def redact_addresses(text: Column | str) -> Column:
-    """E-mail and IPv4 addresses replaced by fixed ones."""
-    return F.regexp_replace(F.regexp_replace(F.col(text) if isinstance(text, str) else text, EMAIL_PATTERN, EMAIL), IP_PATTERN, IP)
+    """E-mail, IPv4 and IPv6 addresses replaced by fixed ones."""
+    text = F.col(text) if isinstance(text, str) else text
+    for pattern, placeholder in ((EMAIL_PATTERN, EMAIL), (IP6_PATTERN, IP), (IP_PATTERN, IP)):
+        text = F.regexp_replace(text, pattern, placeholder)
+    return text

@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import asdict, dataclass, field
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from corpuswright.functions import stopwords
-from corpuswright.functions.text import strip, turkish_lower, words
+from corpuswright.functions.text import LETTERED, SPACE, WORD, strip, turkish_lower, words
 
 
 @dataclass(frozen=True)
@@ -41,20 +41,34 @@ class Thresholds:
             raise ValueError(f"unknown alpha_rule {self.alpha_rule!r}")
 
 
+def let(values: dict[str, Column], then: Callable[[Column], Column]) -> Column:
+    """``then`` of a struct of values, each of which is worked out once a row, however often ``then`` names it."""
+    return F.get(F.transform(F.array(F.struct(*[c.alias(k) for k, c in values.items()])), then), F.lit(0))
+
+
+def _counts(text: Column) -> dict[str, Column]:
+    """What the metrics are made of: one pass of a pattern each, no array of words."""
+    return {
+        "n": F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long"),
+        "chars": F.length(F.regexp_replace(turkish_lower(text), f"{SPACE}+", "")),
+        # three dots are counted apart from each other, from the left
+        "symbols": F.regexp_count(text, F.lit(r"#|…|\.\.\.")),
+        "lettered": F.regexp_count(text, F.lit(LETTERED)),
+    }
+
+
 def metrics(text: Column | str) -> Column:
     """``n_words, mean_word_length, symbol_word_ratio, non_alpha_words_ratio``; null for blank texts.
 
     Lengths are of Turkish lower-case words; symbols are the number sign, the ellipsis and three dots, wherever they are.
     """
     text = F.col(text) if isinstance(text, str) else text
-    some = words(text)
-    n = F.size(some).cast("double")
-    chars = F.aggregate(F.transform(words(turkish_lower(text)), F.length), F.lit(0), lambda a, b: a + b)
-    # three dots are counted apart from each other, from the left
-    symbols = F.regexp_count(text, F.lit(r"#|…|\.\.\."))
-    bare = F.size(F.filter(some, lambda w: ~w.rlike(r"\p{L}")))
-    out = F.struct(F.size(some).cast("long").alias("n_words"), (chars / n).alias("mean_word_length"), (symbols / n).alias("symbol_word_ratio"), (bare / n).alias("non_alpha_words_ratio"))
-    return F.when(F.size(some) > 0, out)
+
+    def of(m: Column) -> Column:
+        n = m["n"].cast("double")
+        return F.when(m["n"] > 0, F.struct(m["n"].alias("n_words"), (m["chars"] / n).alias("mean_word_length"), (m["symbols"] / n).alias("symbol_word_ratio"), ((n - m["lettered"]) / n).alias("non_alpha_words_ratio")))
+
+    return let(_counts(text), of)
 
 
 def lines(text: Column | str) -> Column:
@@ -74,57 +88,65 @@ def first_reason(reasons: Sequence[tuple[str, Column]]) -> Column:
 def gopher_quality(text: Column | str, limits: Thresholds = Thresholds()) -> Column:  # noqa: B008
     """Why a text is rejected by word counts, word lengths, symbols, line marks, letters or stop words; null if it is kept."""
     text = F.col(text) if isinstance(text, str) else text
-    m, rows = metrics(text), lines(text)
-    lowered = F.array_distinct(words(turkish_lower(text)))
-    stops = F.size(F.array_intersect(lowered, F.array(*map(F.lit, limits.stop_words)) if limits.stop_words else F.array().cast("array<string>")))
-    bare = m["non_alpha_words_ratio"]
-    return first_reason(
-        [
-            ("blank", m.isNull()),
-            ("too_few_words", m["n_words"] < limits.min_doc_words),
-            ("too_many_words", m["n_words"] > limits.max_doc_words),
-            ("words_too_short", m["mean_word_length"] < limits.min_avg_word_length),
-            ("words_too_long", m["mean_word_length"] > limits.max_avg_word_length),
-            ("symbols", m["symbol_word_ratio"] > limits.max_symbol_word_ratio),
-            ("bullets", _share(F.filter(rows, lambda x: x.rlike("^[•●‣\\-*]")), rows) > limits.max_bullet_lines_ratio),
-            ("ellipses", _share(F.filter(rows, lambda x: x.rlike(r"(?:\.\.\.|…)$")), rows) > limits.max_ellipsis_lines_ratio),
-            ("letters", bare > limits.max_non_alpha_words_ratio if limits.alpha_rule == "intent" else (1 - bare) < limits.max_non_alpha_words_ratio),
-            ("stop_words", stops < limits.min_stop_words),
-        ]
-    )
+    known = F.array(*map(F.lit, limits.stop_words)) if limits.stop_words else F.array().cast("array<string>")
+
+    def of(m: Column) -> Column:
+        n, rows = m["n"].cast("double"), m["rows"]
+        bare = (n - m["lettered"]) / n
+        return first_reason(
+            [
+                ("blank", m["n"] == 0),
+                ("too_few_words", m["n"] < limits.min_doc_words),
+                ("too_many_words", m["n"] > limits.max_doc_words),
+                ("words_too_short", m["chars"] / n < limits.min_avg_word_length),
+                ("words_too_long", m["chars"] / n > limits.max_avg_word_length),
+                ("symbols", m["symbols"] / n > limits.max_symbol_word_ratio),
+                ("bullets", _share(F.filter(rows, lambda x: x.rlike("^[•●‣\\-*]")), rows) > limits.max_bullet_lines_ratio),
+                ("ellipses", _share(F.filter(rows, lambda x: x.rlike(r"(?:\.\.\.|…)$")), rows) > limits.max_ellipsis_lines_ratio),
+                ("letters", bare > limits.max_non_alpha_words_ratio if limits.alpha_rule == "intent" else (1 - bare) < limits.max_non_alpha_words_ratio),
+                ("stop_words", m["stops"] < limits.min_stop_words),
+            ]
+        )
+
+    return let(_counts(text) | {"rows": lines(text), "stops": F.size(F.array_intersect(words(turkish_lower(text)), known))}, of)
 
 
 def fineweb_quality(text: Column | str, min_ended: float = 0.12, max_repeated: float = 0.1, max_short: float = 0.67, short: int = 30) -> Column:
     """Why a text is rejected by its lines: too few end a sentence, too many are short, or too much of it is repeated."""
-    text = F.col(text) if isinstance(text, str) else text
-    rows = lines(text)
-    size = F.aggregate(F.transform(rows, F.length), F.lit(0), lambda a, b: a + b)
-    once = F.aggregate(F.transform(F.array_distinct(rows), F.length), F.lit(0), lambda a, b: a + b)
-    return first_reason(
-        [
-            ("blank", F.coalesce(F.size(rows), F.lit(0)) == 0),
-            ("line_ends", _share(F.filter(rows, lambda x: x.rlike("[.!?…。！？\"'”]$")), rows) <= min_ended),
-            ("short_lines", _share(F.filter(rows, lambda x: F.length(x) < short), rows) >= max_short),
-            ("repeated_lines", (size - once) / size >= max_repeated),
-        ]
-    )
+
+    def of(m: Column) -> Column:
+        rows = m["rows"]
+        size = F.aggregate(F.transform(rows, F.length), F.lit(0), lambda a, b: a + b)
+        once = F.aggregate(F.transform(F.array_distinct(rows), F.length), F.lit(0), lambda a, b: a + b)
+        return first_reason(
+            [
+                ("blank", F.coalesce(F.size(rows), F.lit(0)) == 0),
+                ("line_ends", _share(F.filter(rows, lambda x: x.rlike("[.!?…。！？\"'”]$")), rows) <= min_ended),
+                ("short_lines", _share(F.filter(rows, lambda x: F.length(x) < short), rows) >= max_short),
+                ("repeated_lines", (size - once) / size >= max_repeated),
+            ]
+        )
+
+    return let({"rows": lines(text)}, of)
 
 
 def repeated_parts(text: Column | str) -> Column:
     """Shares of repeated lines and paragraphs, by number and by characters of the text."""
     text = F.col(text) if isinstance(text, str) else text
 
-    def shares(parts: Column) -> tuple[Column, Column]:
-        size = F.aggregate(F.transform(parts, F.length), F.lit(0), lambda a, b: a + b)
-        kept = F.array_distinct(parts)
-        once = F.aggregate(F.transform(kept, F.length), F.lit(0), lambda a, b: a + b)
-        n = F.size(parts).cast("double")
-        return (n - F.size(kept)) / n, (size - once) / F.length(text).cast("double")
+    def of(m: Column) -> Column:
+        found = []
+        for name in ("line", "para"):
+            parts = m[name]
+            size = F.aggregate(F.transform(parts, F.length), F.lit(0), lambda a, b: a + b)
+            kept = F.array_distinct(parts)
+            once = F.aggregate(F.transform(kept, F.length), F.lit(0), lambda a, b: a + b)
+            n = F.size(parts).cast("double")
+            found += [((n - F.size(kept)) / n).alias(f"dup_{name}_frac"), ((size - once) / m["size"].cast("double")).alias(f"dup_{name}_char_frac")]
+        return F.struct(*found)
 
     trimmed = strip(text)
-    line, line_chars = shares(F.split(trimmed, "\n+"))
-    part, part_chars = shares(F.split(trimmed, "\n{2,}"))
-    return F.struct(line.alias("dup_line_frac"), line_chars.alias("dup_line_char_frac"), part.alias("dup_para_frac"), part_chars.alias("dup_para_char_frac"))
+    return let({"line": F.split(trimmed, "\n+"), "para": F.split(trimmed, "\n{2,}"), "size": F.length(text)}, of)
 
 
 #: Limits of repetition: share of characters in the commonest n-gram, and in n-grams that came before.
@@ -136,29 +158,50 @@ DUP_PARTS = (0.30, 0.20, 0.30, 0.20)
 def gram_shares(text: str) -> list[float]:
     """For one text: share of the commonest 2- to 4-gram, then of characters in repeated 5- to 10-grams.
 
-    A repeated n-gram is counted when it is met again, and reading goes on behind it.
+    A repeated n-gram is counted when it is met again, and reading goes on behind it. N-grams are numbered: each by the one
+    that is a word shorter and its last word.
     """
     some, size = text.split(), max(len(text), 1)
+    number: dict[str, int] = {}
+    gram = word = np.fromiter((number.setdefault(w, len(number)) for w in some), np.int64, len(some))
+    ends = np.concatenate(([0], np.cumsum(np.fromiter(map(len, some), np.int64, len(some)))))
     out: list[float] = []
-    for n, _ in TOP_GRAMS:
-        counts = Counter(tuple(some[i : i + n]) for i in range(len(some) - n + 1))
-        best = max(((c, sum(map(len, g)) + n - 1) for g, c in counts.items() if c > 1), default=(0, 0), key=lambda x: (x[0], x[1]))
-        out.append(best[0] * best[1] / size)
-    for n, _ in DUP_GRAMS:
-        seen: set[tuple[str, ...]] = set()
-        at = repeated = 0
-        while at + n <= len(some):
-            gram = tuple(some[at : at + n])
-            if gram in seen:
-                repeated += sum(map(len, gram))
-                at += n
-            else:
-                seen.add(gram)
-                at += 1
-        out.append(repeated / size)
+    for n in range(2, DUP_GRAMS[-1][0] + 1):
+        many = len(some) - n + 1
+        if many <= 0:
+            gram = np.zeros(0, np.int64)
+            out.append(0.0)
+            continue
+        _, first, gram, times = np.unique(gram[:many] * len(number) + word[n - 1 :], return_index=True, return_inverse=True, return_counts=True)
+        chars = ends[n:] - ends[:many]
+        if n <= TOP_GRAMS[-1][0]:
+            own = chars[first] + n - 1
+            top = np.lexsort((own, times))[-1]
+            out.append(int(times[top]) * int(own[top]) / size if times[top] > 1 else 0.0)
+        else:
+            out.append(_read_again(gram, first, chars, n) / size)
     return out
 
 
+def _read_again(gram: np.ndarray, first: np.ndarray, chars: np.ndarray, n: int) -> int:
+    """Characters of the n-grams that were read before; ``first``: where each is met first, ``chars``: their sizes."""
+    again = np.ones(len(gram), dtype=bool)
+    again[first] = False
+    read, at, total = np.zeros(len(first), dtype=bool), 0, 0
+    for place in np.flatnonzero(again).tolist():
+        if place < at:
+            continue
+        # all that comes between is met first
+        read[gram[at:place]] = True
+        if read[gram[place]]:
+            total += int(chars[place])
+            at = place + n
+        else:
+            read[gram[place]] = True
+            at = place + 1
+    return total
+
+
 def repeated_grams(text: Column | str) -> Column:
     """``gram_shares`` of every text; null for null."""
 
@@ -172,11 +215,14 @@ def repeated_grams(text: Column | str) -> Column:
 def gopher_repetition(text: Column | str) -> Column:
     """Why a text is rejected as repetitive, or null. The n-grams' shares are worked out in Python, the rest is not."""
     text = F.col(text) if isinstance(text, str) else text
-    parts, grams = repeated_parts(text), repeated_grams(text)
     names = ("dup_line_frac", "dup_line_char_frac", "dup_para_frac", "dup_para_char_frac")
-    reasons = [(name, parts[name] > limit) for name, limit in zip(names, DUP_PARTS, strict=True)]
-    reasons += [(f"top_{n}_gram" if n < 5 else f"duplicated_{n}_gram", F.get(grams, F.lit(i)) > limit) for i, (n, limit) in enumerate(TOP_GRAMS + DUP_GRAMS)]
-    return first_reason([("blank", F.coalesce(strip(text), F.lit("")) == ""), *reasons])
+
+    def of(m: Column) -> Column:
+        reasons = [(name, m["parts"][name] > limit) for name, limit in zip(names, DUP_PARTS, strict=True)]
+        reasons += [(f"top_{n}_gram" if n < 5 else f"duplicated_{n}_gram", F.get(m["grams"], F.lit(i)) > limit) for i, (n, limit) in enumerate(TOP_GRAMS + DUP_GRAMS)]
+        return first_reason([("blank", m["blank"]), *reasons])
+
+    return let({"parts": repeated_parts(text), "grams": repeated_grams(text), "blank": F.coalesce(strip(text), F.lit("")) == ""}, of)
 
 
 #: A few very frequent words of each language, for texts whose language nobody has noted.
@@ -192,16 +238,22 @@ PROFILES = {
 def language_scores(text: Column | str, profiles: dict[str, str] = PROFILES) -> Column:
     """For each language, the share of a text's words that are in its profile."""
     some = F.transform(words(F.lower(F.col(text) if isinstance(text, str) else text)), lambda w: F.regexp_replace(w, r"\P{L}+", ""))
-    n = F.greatest(F.size(some), F.lit(1))
-    share = lambda known: F.size(F.filter(some, lambda w: w.isin(*known.split()))) / n
-    return F.struct(*[share(known).alias(k) for k, known in profiles.items()])
+
+    def of(m: Column) -> Column:
+        n = F.greatest(F.size(m["words"]), F.lit(1))
+        share = lambda known: F.size(F.filter(m["words"], lambda w: w.isin(*known.split()))) / n
+        return F.struct(*[share(known).alias(k) for k, known in profiles.items()])
+
+    return let({"words": some}, of)
 
 
 def language_gate(text: Column | str, wanted: Sequence[str], threshold: float = 0.65, known: Column | None = None) -> Column:
     """Whether a text is in a wanted language: by ``known`` where that is given, else if its share of words in the profiles of
     the wanted languages is at least ``threshold`` of that in all profiles (each text's best guess, no model)."""
-    scores = language_scores(text)
-    total = sum((scores[k] for k in PROFILES), F.lit(0.0))
-    own = F.greatest(F.lit(0.0), *[scores[k] for k in wanted if k in PROFILES]) if any(k in PROFILES for k in wanted) else F.lit(0.0)
-    guess = F.coalesce(F.try_divide(own, total) >= threshold, F.lit(False))
+    def of(m: Column) -> Column:
+        total = sum((m["scores"][k] for k in PROFILES), F.lit(0.0))
+        own = F.greatest(F.lit(0.0), F.lit(0.0), *[m["scores"][k] for k in wanted if k in PROFILES])
+        return F.coalesce(F.try_divide(own, total) >= threshold, F.lit(False))
+
+    guess = let({"scores": language_scores(text)}, of)
     return guess if known is None else F.coalesce(known.isin(*wanted), guess)

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 #: What Python's ``str.split()`` takes for white space.
 SPACE = r"[\s\x1c-\x1f\x85\p{Z}]"
+#: A word; a word with a letter in it, told from its first character on (so that a run without any is read once).
+WORD = r"[^\s\x1c-\x1f\x85\p{Z}]+"
+LETTERED = r"(?<![^\s\x1c-\x1f\x85\p{Z}])[^\s\x1c-\x1f\x85\p{Z}\p{L}]*+\p{L}[^\s\x1c-\x1f\x85\p{Z}]*+"
 #: Code points below this are never changed by canonical composition.
 _COMPOSED_BELOW = r"[^\x00-˿]"
 
@@ -74,7 +77,7 @@ def words(text: Column | str) -> Column:
 
 
 def word_count(text: Column | str) -> Column:
-    return F.size(words(text)).cast("long")
+    return F.coalesce(F.regexp_count(_col(text), F.lit(WORD)), F.lit(0)).cast("long")
 
 
 def stable_unit(key: Column | str) -> Column:
