@@ -80,17 +80,20 @@ def manifest_json(rows: DataFrame, sources: list[Source], budget: int, tokenizer
     }
 
 
-def export_split(df: DataFrame, share: float = 0.01, seed: int = 0, id_col: str = "id", text_col: str = "text", min_chars: int = 1) -> tuple[DataFrame, DataFrame]:
+def export_split(df: DataFrame, share: float = 0.01, seed: int = 0, id_col: str = "id", text_col: str = "text", min_chars: int = 1, order_col: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Lines for training and for evaluation: one document a line, the first of each id, short ones left out.
 
-    Evaluation gets ``max(1, round(share * n))`` documents, those whose seeded digest of id and text is smallest. Rows without an id
-    are never taken for copies of each other.
+    The first is that with the least ``order_col``, by default in the order in which rows are read; if it is short, its id is
+    left out. Evaluation gets ``max(1, round(share * n))`` documents, those whose seeded digest of id and text is smallest. Rows
+    without an id are never taken for copies of each other.
     """
     from corpuswright.functions.text import collapse
 
-    rows = df.select(F.col(id_col).cast("string").alias("id"), collapse(text_col).alias("text")).where(F.length("text") >= min_chars)
+    order = F.col(order_col) if order_col else F.monotonically_increasing_id()
+    rows = df.select(F.col(id_col).cast("string").alias("id"), F.coalesce(collapse(text_col), F.lit("")).alias("text"), order.alias("order"))
     named = F.coalesce(F.col("id"), F.lit("")) != ""
-    kept = rows.where(named).groupBy("id").agg(F.min("text").alias("text")).unionByName(rows.where(~named))
+    first = rows.where(named).groupBy("id").agg(F.min(F.struct("order", "text")).alias("first")).select("id", F.col("first.text").alias("text"))
+    kept = first.unionByName(rows.where(~named).select("id", "text")).where(F.length("text") >= min_chars)
     kept = kept.withColumn("key", F.md5(F.concat_ws(":", F.lit(str(seed)), "id", "text").cast("binary")))
     n = kept.count()
     if not n:

@@ -83,11 +83,41 @@ def test_calibration(spark, tmp_path):
     with pytest.raises(ValueError):
         calibrate.calibrate(df.where("text = ''"))
     with pytest.raises(ValueError):
-        calibrate.band("n_words", "other")
-    calibrate.write_artifacts(t, str(tmp_path / "a"))
-    assert calibrate.load_artifacts(str(tmp_path / "a")) == t
-    (tmp_path / "a" / "thresholds.json").write_text("{broken")
-    assert calibrate.load_artifacts(str(tmp_path / "a")).min_doc_words == Thresholds().min_doc_words
+        calibrate.limits(df, "other")
+    t, told = calibrate.calibrated(df, top_n=3)
+    assert (told["n_docs"], told["n_unique_words"], told["thresholds"]["min_doc_words"]) == (2, 6, 10) and set(told["sample_quantiles"]) == set(calibrate.METRICS)
+    calibrate.write_artifacts(t, str(tmp_path / "a"), told)
+    assert calibrate.load_artifacts(str(tmp_path / "a")) == t and json.loads((tmp_path / "a" / "report.json").read_text()) == told
+    # what is missing or broken has the plain limits, not the calibrated ones
+    (tmp_path / "a" / "thresholds.json").write_text('{"max_avg_word_length": 9.5, "min_doc_words": "7", "min_stop_words": true, "other": 1}')
+    some = calibrate.load_artifacts(str(tmp_path / "a"))
+    assert (some.min_doc_words, some.max_avg_word_length, some.min_stop_words, some.stop_words) == (50, 9.5, 2, t.stop_words)
+    for broken in ("{broken", "[1]", '{"min_doc_words": 500000}'):
+        (tmp_path / "a" / "thresholds.json").write_text(broken)
+        some = calibrate.load_artifacts(str(tmp_path / "a"))
+        assert (some.min_doc_words, some.min_avg_word_length, some.max_avg_word_length, some.max_symbol_word_ratio, some.max_non_alpha_words_ratio) == (50, 3.0, 12.0, 0.10, 0.70)
+    assert calibrate.load_artifacts(str(tmp_path / "none")) == calibrate.PLAIN and Thresholds() != calibrate.PLAIN
+
+
+@pytest.mark.parametrize("rows, accuracy", [(200_000, 20_000), (40, 50), (12, 20)])
+def test_exact_quantiles(spark, monkeypatch, rows, accuracy):
+    """Whether the driver may get all values or a few: the quantiles are those of the sorted list."""
+    monkeypatch.setattr(calibrate, "EXACT_ROWS", rows)
+    monkeypatch.setattr(calibrate, "ACCURACY", accuracy)
+    r = random.Random(5)
+    values = [(r.choice([0.0, 1.5, r.random(), r.gauss(0, 100)]), r.randrange(9), None) for _ in range(3000)]
+    df = spark.createDataFrame(values, "a double, b long, c double").repartition(3).cache()
+    points = [0.0, 0.005, 0.1, 0.333, 0.5, 0.995, 1.0]
+    found = calibrate.quantiles(df, {"a": points, "b": points, "c": points})
+
+    def by_hand(some, p):
+        some = sorted(some)
+        h = (len(some) - 1) * p
+        return some[int(h)] + (h - int(h)) * (some[min(int(h) + 1, len(some) - 1)] - some[int(h)])
+
+    for c, column in (("a", [v[0] for v in values]), ("b", [v[1] for v in values])):
+        assert found[c] == pytest.approx([by_hand(column, p) for p in points])
+    assert found["c"] == [0.0] * len(points)
 
 
 def test_blend(spark):
