@@ -9,9 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``, or a local folder where it is unset (as in tests)."""
+    """``spark.checkpoint.dir``; a folder of this machine where it is unset and the session has no other machine (as in tests).
+
+    A session with executors elsewhere must name a folder that all of them share, or this is an error: each would write to a
+    disk of its own, and what one wrote the others would miss.
+    """
     found = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getConf().get("spark.checkpoint.dir", "")
     if not found:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError(f"spark.checkpoint.dir is unset: on {master} it must name a folder that the driver and all executors share")
         found = f"file://{tempfile.mkdtemp(prefix='corpuswright-')}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
