@@ -160,10 +160,13 @@ def gopher_quality_customary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents(spark, sf_dir).select("doc_id", quality.gopher_quality("text", CUSTOMARY).alias("drop_reason"))
 
 
-@query(f"""select doc_id, case when len(r) = 0 then 'blank' when len([x for x in r if regexp_matches(x, '[.!?…。！？"''”]$')]) / len(r) <= 0.12::double then 'line_ends'
+_ENDS = f"""select doc_id, case when len(r) = 0 then 'blank' when len([x for x in r if regexp_matches(x, '[.!?…。！？"''”]$')]) / len(r) <= 0.12::double then 'line_ends'
     when len([x for x in r if length(x) < 30]) / len(r) >= 0.67::double then 'short_lines'
     when (list_sum([length(x) for x in r]) - list_sum([length(x) for x in list_distinct(r)])) / list_sum([length(x) for x in r]) >= 0.1::double then 'repeated_lines' end drop_reason
-    from (select doc_id, {_LINES} r from documents)""")
+    from (select doc_id, {_LINES} r from documents)"""
+
+
+@query(_ENDS)
 def fineweb_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents(spark, sf_dir).select("doc_id", quality.fineweb_quality("text").alias("drop_reason"))
 
@@ -190,7 +193,36 @@ def top_grams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.select("doc_id", *[F.round(F.get("g", F.lit(i)), 9).alias(f"top_{n}") for i, (n, _) in enumerate(quality.TOP_GRAMS)])
 
 
-@query()
+def _sql_repeated(source: str) -> str:
+    """``(doc_id, n, repeated)``: characters of n-grams that were read before. Places of n-grams that occur earlier are folded
+    from the left: one is met again if an earlier one of it does not lie within what was left out behind an n-gram met again."""
+    state = "struct_pack(at := {}, total := {}, hits := {}, i := 0::bigint, occ := []::bigint[], chars := 0::bigint)"
+    free = "len(list_filter(a.hits, lambda s: s < {0} and {0} < s + n)) = 0"
+    again = state.format("x.i + n", "a.total + x.chars", "list_append(a.hits, x.i)")
+    return f"""select doc_id, n, list_reduce(list_prepend({state.format("0::bigint", "0::bigint", "[]::bigint[]")}, f), lambda a, x: case when x.i < a.at then a when {free.format("x.occ[1]")} then {again}
+        when len(list_filter(x.occ, lambda p: {free.format("p")})) > 0 then {again} else {state.format("x.i + 1", "a.total", "a.hits")} end).total repeated
+        from (select doc_id, n, list(struct_pack(at := 0::bigint, total := 0::bigint, hits := []::bigint[], i := i, occ := occ, chars := chars) order by i) f
+          from (select doc_id, n, i, length(gram) - n + 1 chars, list(i) over (partition by doc_id, n, gram order by i rows between unbounded preceding and 1 preceding) occ
+            from (select doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') gram from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) i from {source}, (select unnest({[n for n, _ in quality.DUP_GRAMS]}) n))))
+          where len(occ) > 0 group by all)"""
+
+
+def _sql_repetition(source: str) -> str:
+    """``(doc_id, drop_reason)`` of a table ``(doc_id, text, w)``."""
+    share = lambda x, y: f"(list_sum([length(x) for x in {x}]) - list_sum([length(x) for x in list_distinct({x})])) / {y}"
+    once = lambda x: f"(len({x}) - len(list_distinct({x}))) / len({x})"
+    parts = [once("a"), share("a", "length(text)"), once("b"), share("b", "length(text)")]
+    names = ("dup_line_frac", "dup_line_char_frac", "dup_para_frac", "dup_para_char_frac")
+    rules = [f"when {x} > {limit}::double then '{name}'" for name, x, limit in zip(names, parts, quality.DUP_PARTS, strict=True)]
+    rules += [f"when coalesce(t{n}.chars, 0) / greatest(length(text), 1) > {limit}::double then 'top_{n}_gram'" for n, limit in quality.TOP_GRAMS]
+    rules += [f"when coalesce(m[{n}], 0) / greatest(length(text), 1) > {limit}::double then 'duplicated_{n}_gram'" for n, limit in quality.DUP_GRAMS]
+    joins = " ".join(f"left join ({_sql_top(n).replace('from docs)', f'from {source})')}) t{n} using (doc_id)" for n, _ in quality.TOP_GRAMS)
+    return f"""select doc_id, case when coalesce({sql_strip('text')}, '') = '' then 'blank' {' '.join(rules)} end drop_reason
+        from (select doc_id, text, string_split_regex({sql_strip('text')}, '\\n+') a, string_split_regex({sql_strip('text')}, '\\n{{2,}}') b from {source}) {joins}
+        left join (select doc_id, map(list(n), list(repeated)) m from ({_sql_repeated(source)}) group by doc_id) using (doc_id)"""
+
+
+@query(f"with docs as (select doc_id, text, {sql_words('text')} w from documents) {_sql_repetition('docs')}")
 def gopher_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents(spark, sf_dir).select("doc_id", quality.gopher_repetition("text").alias("drop_reason"))
 
@@ -205,11 +237,12 @@ def language_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select("doc_id", *[F.round(f"s.{k}", 9).alias(k) for k in quality.PROFILES])
 
 
-_GUESS = f"""select doc_id, lang, coalesce(case when t > 0 then greatest(0.0, en, fr) / t >= 0.65::double end, false) guess from (select *, 0.0::double + {' + '.join(quality.PROFILES)} t
+def _sql_guess(wanted: tuple[str, ...]) -> str:
+    return f"""select doc_id, lang, coalesce(case when t > 0 then greatest(0.0, {', '.join(wanted)}) / t >= 0.65::double end, false) guess from (select *, 0.0::double + {' + '.join(quality.PROFILES)} t
     from (select doc_id, lang, {', '.join(f'{_sql_profile(k)} {k}' for k in quality.PROFILES)} from (select doc_id, lang, [regexp_replace(x, '\\P{{L}}+', '', 'g') for x in {sql_words('lower(text)')}] w from documents)))"""
 
 
-@query(f"select doc_id, guess, coalesce(case when doc_id % 2 = 0 then lang in ('en', 'fr') end, guess) kept from ({_GUESS})")
+@query(f"select doc_id, guess, coalesce(case when doc_id % 2 = 0 then lang in ('en', 'fr') end, guess) kept from ({_sql_guess(('en', 'fr'))})")
 def language_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether texts are English or French, by their words alone, and with the language noted of every other document."""
     known = F.when(F.col("doc_id") % 2 == 0, F.col("lang"))
@@ -268,14 +301,20 @@ def calibration_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 _BYTE = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 
 
-@query(f"""select doc_id, md5(regexp_replace(regexp_replace(text, '\\b[A-Za-z0-9._%+-]+@(?:[A-Za-z0-9-]+\\.)+[A-Za-z]{{2,}}\\b', '{pii.EMAIL}', 'g'), '\\b{_BYTE}(?:\\.{_BYTE}){{3}}\\b', '{pii.IP}', 'g')) text_md5 from documents""")
-def redact_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents(spark, sf_dir).select("doc_id", F.md5(pii.redact_addresses("text")).alias("text_md5"))
+def _sql_addresses(x: str) -> str:
+    # the mark of an IPv6 address is two colons beside hexadecimal digits
+    email = f"regexp_replace({x}, '\\b[A-Za-z0-9._%+-]+@(?:[A-Za-z0-9-]+\\.)+[A-Za-z]{{2,}}\\b', '{pii.EMAIL}', 'g')"
+    six = f"regexp_replace({email}, '(^|[^0-9A-Za-z:.])(?:{'|'.join(pii._IP6_FORMS)})($|[^0-9A-Za-z:.]|\\.[^0-9]|\\.$)', '\\1{pii.IP}\\2', 'g')"
+    return f"regexp_replace({six}, '\\b{_BYTE}(?:\\.{_BYTE}){{3}}\\b', '{pii.IP}', 'g')"
 
 
-@query()
-def redact_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.redact(documents(spark, sf_dir).select("doc_id", text.normalize("text").alias("text"))).select("doc_id", F.md5("text").alias("text_md5"), F.to_json("pii").alias("pii"))
+_ADDRESSED = "concat('net 2001:db8::', cast(doc_id % 9999 as string), ' and 1:2:3:4:5:6:7:8, ::1; at 10:20:30 x::y. ', text)"
+
+
+@query(f"select doc_id, md5({_sql_addresses('text')}) text_md5 from (select doc_id, {_ADDRESSED} text from documents)")
+def redact_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = documents(spark, sf_dir).select("doc_id", F.expr(_ADDRESSED).alias("text"))
+    return made.select("doc_id", F.md5(pii.redact_addresses("text")).alias("text_md5"))
 
 
 _ELEVEN = "(10000000000 + doc_id * 829348951 % 89999999999)"
@@ -299,6 +338,44 @@ def iban_mod97(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents(spark, sf_dir).select("doc_id", made.alias("value")).withColumn("valid", pii.is_iban("value"))
 
 
+def _sql_id(v: str) -> str:
+    digit = lambda i: f"try_cast({v}[{i}] as int)"
+    odd, even = (" + ".join(digit(i) for i in places) for places in ((1, 3, 5, 7, 9), (2, 4, 6, 8)))
+    return f"coalesce(regexp_full_match({v}, '[1-9][0-9]{{10}}') and ((7 * ({odd}) - ({even})) % 10 + 10) % 10 = {digit(10)} and ({odd} + {even} + {digit(10)}) % 10 = {digit(11)}, false)"
+
+
+def _sql_iban(v: str) -> str:
+    v = f"upper(regexp_replace({v}, '[ -]', '', 'g'))"
+    steps = f"[case when c between '0' and '9' then ascii(c) - 48 else ascii(c) - 55 end for c in string_split(substr({v}, 5) || left({v}, 4), '')]"
+    return f"list_reduce({steps}, lambda a, c: (a * case when c < 10 then 10 else 100 end + c) % 97, 0) = 1"
+
+
+def _sql_redact(source: str) -> str:
+    """``(doc_id, text, iban, phone, tc_kimlik)`` of ``(doc_id, text)``; what stands around a match is matched and put back."""
+    bare = lambda pattern: pattern.replace("(?i)", "").replace(pii._NO_DIGIT_BEFORE, "").replace(pii._NO_WORD_BEFORE, "").replace(pii._NO_WORD_AFTER, "")
+    no_word = r"[^\p{L}\p{N}_]"
+    found = f"list_filter(regexp_extract_all(text, '(?i)(?:^|[^0-9])({bare(pii.IBAN_PATTERN)})(?:$|{no_word})', 1), lambda v: {_sql_iban('v')})"
+    phones = lambda x: f"regexp_replace({x}, '(^|{no_word}){bare(pii.PHONE_PATTERN)}($|{no_word})', '\\1{pii.PLACEHOLDERS['phone']}\\2', 'g')"
+    ids = f"[case when {_sql_id('x')} then '{pii.PLACEHOLDERS['tc_kimlik']}' else x end for x in regexp_extract_all(text, '[0-9]+|[^0-9]+')]"
+    count = lambda kind, x: f"len(regexp_extract_all({x}, '{pii.PLACEHOLDERS[kind]}'))"
+    one = f"select doc_id, text before, {found} hits from ({source})"
+    two = f"select doc_id, before, list_reduce(hits, lambda a, v: replace(a, v, '{pii.PLACEHOLDERS['iban']}'), before) text, len(hits) iban from ({one})"
+    # twice, as what stands between two may be one character
+    three = f"select doc_id, before, {phones(phones('text'))} text, iban from ({two})"
+    return f"select doc_id, t text, iban, {count('phone', 't')} - {count('phone', 'before')} phone, {count('tc_kimlik', 't')} - {count('tc_kimlik', 'before')} tc_kimlik from (select *, array_to_string({ids}, '') t from ({three}))"
+
+
+#: Personal data made of document ids, in front of each text: account numbers, phones and national ids.
+_PERSONAL = f"""concat('IBAN TR', lpad(cast(doc_id * 7919 % 97 as string), 2, '0'), lpad(cast(doc_id * 104729 as string), 22, '0'), '; 0532 ', cast(100 + doc_id % 900 as string), ' 45 67, tel. +90 (312) 555', cast(1000 + doc_id % 9000 as string), '; no ', {_ELEVEN}, '. ', text)"""
+
+
+@query(f"""select doc_id, md5(text) text_md5, '{{' || concat_ws(',', case when iban > 0 then '"iban":' || iban end, case when phone > 0 then '"phone":' || phone end, case when tc_kimlik > 0 then '"tc_kimlik":' || tc_kimlik end) || '}}' pii
+    from ({_sql_redact(f"select doc_id, {_NORMAL} text from (select doc_id, {_PERSONAL} text from documents)")})""")
+def redact_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = documents(spark, sf_dir).select("doc_id", F.expr(_PERSONAL).alias("text"))
+    return pii.redact(made.select("doc_id", text.normalize("text").alias("text"))).select("doc_id", F.md5("text").alias("text_md5"), F.to_json("pii").alias("pii"))
+
+
 @query(f"select doc_id, len({sql_words('text')})::bigint n_tokens from documents")
 def token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(documents(spark, sf_dir), id_col="doc_id").select("doc_id", F.col("token_count").alias("n_tokens"))
@@ -322,15 +399,15 @@ def exact_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.exact_groups(documents(spark, sf_dir), "doc_id")
 
 
-def _sql_hashes() -> str:
+def _sql_hashes(source: str = "documents") -> str:
     plain = f"regexp_replace({sql_key('text')}, '[^\\p{{L}}\\p{{N}}\\s]+', ' ', 'g')"
     return f"""select doc_id, [('0x' || substr(md5(s), 1, 8))::bigint >> 1 for s in list_distinct([array_to_string(w[i:i + 4], ' ') for i in range(1, greatest(len(w) - 4, 1) + 1)])] h
-        from (select doc_id, {sql_words(plain)} w from documents) where len(w) > 0"""
+        from (select doc_id, {sql_words(plain)} w from {source}) where len(w) > 0"""
 
 
-def _sql_bands() -> str:
+def _sql_bands(source: str = "documents") -> str:
     mins = ", ".join(f"list_min([(x * {a} + {b}) % {dedup.PRIME} for x in h])" for a, b in dedup.permutations())
-    return f"select doc_id id, b::int band, md5(array_to_string([x::varchar for x in s[b * 8 + 1:b * 8 + 8]], ',')) \"key\" from (select doc_id, [{mins}] s from ({_sql_hashes()})), range(14) r(b)"
+    return f"select doc_id id, b::int band, md5(array_to_string([x::varchar for x in s[b * 8 + 1:b * 8 + 8]], ',')) \"key\" from (select doc_id, [{mins}] s from ({_sql_hashes(source)})), range(14) r(b)"
 
 
 @query(_sql_bands())
@@ -530,12 +607,25 @@ def legislation_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 CLEANING = Cleaning(languages=LANGUAGES, language_col="lang", limits=LIMITS)
 
 
-@query()
+_EARLY = f"""select doc_id, d.text, coalesce(case when not coalesce(lang in {LANGUAGES}, guess) then 'language' end, 'quality:' || q.drop_reason, 'lines:' || l.drop_reason) drop_reason
+    from documents d join ({_sql_guess(LANGUAGES)}) g using (doc_id, lang) join ({_REASONS}) q using (doc_id) join ({_ENDS}) l using (doc_id)"""
+_DROPPED = f"""early as materialized ({_EARLY}), docs as materialized (select doc_id, text, {sql_words('text')} w from early where drop_reason is null), again as materialized ({_sql_repetition('docs')}),
+    judged as materialized (select doc_id, e.text, coalesce(e.drop_reason, 'repetition:' || a.drop_reason) drop_reason from early e left join again a using (doc_id))"""
+
+
+@query(f"with {_DROPPED} select doc_id, drop_reason from judged")
 def drop_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reasons(documents(spark, sf_dir), CLEANING).select("doc_id", "drop_reason")
 
 
-@query()
+_PREPARED = f"select doc_id, {_sql_addresses('text')} text from ({_sql_redact(f'select doc_id, {_NORMAL} text from judged where drop_reason is null')})"
+
+
+@query(f"""with recursive {_DROPPED}, ready as materialized ({_PREPARED}), apart as materialized (select doc_id, text from ready where doc_id in (select min(doc_id) from ready group by md5({sql_key('text')}))),
+    b as materialized ({_sql_bands('apart')}), l as materialized (select distinct m a, id b from b join (select band, "key", min(id) m from b group by all having count(*) > 1) using (band, "key") where m <> id),
+    pairs as materialized (select a, b from l union select b, a from l), reach as (select distinct a id, a r from pairs union select reach.id, pairs.b from reach join pairs on reach.r = pairs.a),
+    kept as (select count(*) n from apart where doc_id not in (select id from reach group by id having min(r) < id))
+    select 'kept' outcome, n documents from kept where n > 0 union all select 'duplicate', (select count(*) from ready) - n from kept where (select count(*) from ready) > n union all select drop_reason, count(*) from judged where drop_reason is not null group by drop_reason""")
 def clean_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole cleaning run: how many documents are kept, duplicates, or rejected for what."""
     return clean(documents(spark, sf_dir), CLEANING, "doc_id").summary()
