@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -56,10 +57,11 @@ def collapse(text: Column | str) -> Column:
     return F.trim(F.regexp_replace(_col(text), f"{SPACE}+", " "))
 
 
-def normalize(text: Column | str, composed: bool = True) -> Column:
-    """Composed, without control and format characters (tab and line ends stay), horizontal white space collapsed, no spaces
+def normalize(text: Column | str, composed: bool = True, repair: Callable[[Column], Column] | None = None) -> Column:
+    """Repaired by a function of columns, if one is given (for texts that were decoded wrongly), composed, without control and format characters (tab and line ends stay), horizontal white space collapsed, no spaces
     at line ends, at most one blank line in a row, trimmed. Letter case is kept."""
-    out = nfc(text) if composed else _col(text)
+    out = repair(_col(text)) if repair else _col(text)
+    out = nfc(out) if composed else out
     out = F.regexp_replace(out, r"[\p{Cc}\p{Cf}&&[^\t\n\r]]+", "")
     out = F.regexp_replace(out, r"(?U)[^\S\n]+", " ")
     out = F.regexp_replace(out, " +(?=\n)", "")

@@ -14,6 +14,13 @@ from corpuswright.functions.text import hrefs, robots_url, url_host, without_www
 _CRAWL = re.compile(r"[A-Z]{2}-[A-Z]+-[0-9]{4}-[0-9]{2}").fullmatch
 
 
+def index_path(root: str, crawl: str, subset: str = "warc") -> str:
+    """The folder of one crawl and subset of a columnar index."""
+    if not _CRAWL(crawl) or not re.fullmatch("[a-z]+", subset):
+        raise ValueError("no such crawl or subset name")
+    return f"{root.rstrip('/')}/crawl={crawl}/subset={subset}"
+
+
 def index_rows(index: DataFrame, crawl: str, subset: str = "warc", language: str = "tur", mime: str = "text/html", primary_only: bool = True) -> DataFrame:
     """Pages of one crawl of a columnar index that were fetched, are of a type, and have a language first (or at all).
 
@@ -91,7 +98,11 @@ def archive_links(pages: DataFrame, archive: str = "/eskiler/", **columns: str)
     return kept.groupBy("page", "link").agg(F.min("pos").alias("pos"))
 
 
-def marked_links(pages: DataFrame, markers: tuple[str, ...] = ("tutanak", "birlesim", "birleşim", "donem", "dönem", "yasama"), **columns: str) -> DataFrame:
+# Words that addresses of a parliament's transcripts hold.
+TRANSCRIPT_MARKERS = ("tutanak", "birlesim", "birleşim", "donem", "dönem", "yasama")
+
+
+def marked_links(pages: DataFrame, markers: tuple[str, ...] = TRANSCRIPT_MARKERS, **columns: str) -> DataFrame:
     """``(page, link)``: links as they stand whose ending is a document's or that hold a marker; each once."""
     low = F.lower("href")
     kept = page_links(pages, **columns).where(F.col("href").rlike(_DOCUMENT) | F.greatest(F.lit(False), *[low.contains(m) for m in markers]))

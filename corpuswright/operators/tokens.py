@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import json
+import signal
+import threading
 from collections import Counter, defaultdict
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from functools import cache
 from pathlib import Path
 
@@ -18,6 +21,8 @@ from corpuswright.plans.storage import written
 MARK = "▁"
 #: Longer words are junk that no analyser should see.
 LONGEST_WORD = 70
+#: Seconds that an analyser may take for one word.
+WORD_SECONDS = 1.0
 
 Merges = list[tuple[str, str]]
 
@@ -212,13 +217,38 @@ class MergeEncoder:
 
 # ---- segmentation
 
-def segment_word(word: str, analyze: Callable[[str], list[str]]) -> str:
-    """Morphemes of a word, joined by the mark; the word itself if it is too long, or if the analyser fails or finds nothing."""
+class OverTime(BaseException):
+    """An analyser took too long; no ``Exception``, so that it does not catch this itself."""
+
+
+@contextmanager
+def time_limit(seconds: float | None) -> Iterator[None]:
+    """Raises ``OverTime`` after so many seconds. Only a process's main thread can be interrupted; elsewhere there is no limit."""
+    if not seconds or threading.current_thread() is not threading.main_thread():
+        yield
+        return
+
+    def over(*_: object) -> None:
+        raise OverTime
+
+    before = signal.signal(signal.SIGALRM, over)
+    signal.setitimer(signal.ITIMER_REAL, seconds)
+    try:
+        yield
+    finally:
+        signal.setitimer(signal.ITIMER_REAL, 0)
+        signal.signal(signal.SIGALRM, before)
+
+
+def segment_word(word: str, analyze: Callable[[str], list[str]], seconds: float | None = WORD_SECONDS) -> str:
+    """Morphemes of a word, joined by the mark; the word itself if it is too long, or if the analyser fails, finds nothing or
+    takes too long."""
     if len(word) > LONGEST_WORD:
         return word
     try:
-        return MARK.join(analyze(word)) or word
-    except Exception:  # noqa: BLE001  an analyser is foreign code: one word must not end the job
+        with time_limit(seconds):
+            return MARK.join(analyze(word)) or word
+    except (Exception, OverTime):  # noqa: BLE001  an analyser is foreign code: one word must not end the job
         return word
 
 
@@ -248,6 +278,13 @@ def segment(df: DataFrame, analyze: Callable[[str], list[str]], id_col: str = "i
     return joined.groupBy("id").agg(F.array_sort(F.collect_list("w")).alias("w")).select("id", F.array_join(F.col("w.form"), " ").alias("text"))
 
 
+def cache_hits(df: DataFrame, text_col: str = "text") -> DataFrame:
+    """``(words, different, hit_rate)``: the share of words that are met again, whose analysis is there already."""
+    counted = df.select(F.explode(words(text_col)).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    out = counted.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("words"), F.count("*").alias("different"))
+    return out.withColumn("hit_rate", F.coalesce(F.lit(1) - F.try_divide("different", "words"), F.lit(0.0)))
+
+
 def segmentation_stats(df: DataFrame, text_col: str = "text") -> DataFrame:
     """``(lines_in, lines_out, lines_dropped, words, unique_words, passthrough)``; passthrough: different words too long to analyse."""
     lines = df.agg(F.count("*").alias("lines_in"), F.count_if(word_count(text_col) > 0).alias("lines_out"), F.coalesce(F.sum(word_count(text_col)), F.lit(0)).alias("words"))

@@ -61,6 +61,8 @@ class Recipe:
     tokenizer: str | None = None
     shuffle_seed: int = 0
     cleaning: Cleaning = field(default_factory=Cleaning)
+    #: Whether what is clean is written as JSON lines too.
+    export_json: bool = False
 
     def __post_init__(self) -> None:
         names = [s.name for s in self.sources]
@@ -101,7 +103,7 @@ def load_recipe(path: str, **overrides: object) -> Recipe:
     raw = Path(path).read_text(encoding="utf-8")
     found = tomllib.loads(raw) if path.endswith(".toml") else json.loads(raw)
     cleaning = Cleaning(**{k: tuple(v) if isinstance(v, list) else v for k, v in found.get("cleaning", {}).items()})
-    recipe = Recipe(found["output_root"], budget(found["target_tokens"]), tuple(map(_step, found.get("sources", []))), found.get("tokenizer"), int(found.get("shuffle_seed", 0)), cleaning)
+    recipe = Recipe(found["output_root"], budget(found["target_tokens"]), tuple(map(_step, found.get("sources", []))), found.get("tokenizer"), int(found.get("shuffle_seed", 0)), cleaning, bool(found.get("export_json", False)))
     wanted = {k: v for k, v in overrides.items() if v is not None}
     if "target_tokens" in wanted:
         wanted["target_tokens"] = budget(wanted["target_tokens"])

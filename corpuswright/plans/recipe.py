@@ -52,16 +52,25 @@ def run(spark: SparkSession, recipe: Recipe, force: bool = False) -> dict:
         result.final.write.mode("overwrite").parquet(path)
         result.removed.write.mode("overwrite").parquet(f"{root}/removed")
         result.rejected.write.mode("overwrite").parquet(f"{root}/rejected")
+        outcomes = {r.outcome: r.documents for r in result.summary().collect()}
+        _write_text(spark, f"{root}/corpus_manifest", {"sources": [s.name for s in recipe.sources], "outcomes": outcomes, "stats": result.count()})
+        if recipe.export_json:
+            spark.read.parquet(path).write.mode("overwrite").option("compression", "gzip").json(f"{root}/clean_json")
     docs = spark.read.parquet(path)
     sources = [blend.Source(s.name, s.weight, s.license, s.register) for s in recipe.sources]
     chosen = written(blend.select(docs, sources, recipe.target_tokens, recipe.shuffle_seed, tokens_col="token_count"), "chosen")
     writers.write_blend(blend.blend(docs, chosen).drop("token_count"), f"{root}/blend", mode="overwrite")
     rows = blend.manifest(docs, chosen, sources, recipe.target_tokens, tokens_col="token_count")
     manifest = blend.manifest_json(rows, sources, recipe.target_tokens, config.tokenizer or "whitespace")
-    spark.createDataFrame([(json.dumps(manifest, ensure_ascii=False),)], "value string").coalesce(1).write.mode("overwrite").text(f"{root}/manifest")
+    _write_text(spark, f"{root}/manifest", manifest)
     return manifest
 
 
+def _write_text(spark: SparkSession, path: str, value: dict) -> None:
+    """A small JSON value, by Spark's writer, wherever the path is."""
+    spark.createDataFrame([(json.dumps(value, ensure_ascii=False),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("recipe")

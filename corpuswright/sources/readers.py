@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import warnings
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from datetime import date
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StringType, StructField, StructType
 
@@ -65,25 +65,37 @@ def legislation(rows: DataFrame, keys: tuple[str, ...] = ("text", "content", "ma
     return record(kept, F.concat(F.lit(f"{source}-"), F.col("__id")), F.col("__text"), source, license, "legal")
 
 
-def pdf_files(spark: SparkSession, path: str, extract: Callable[[bytes], str | None], min_chars: int = 200) -> DataFrame:
-    """``(path, text, needs_ocr)`` of the PDF files below a folder: text by the function that is passed in; texts shorter than
-    ``min_chars``, and files that it fails on, need character recognition and have a null text."""
+def pdf_files(spark: SparkSession, path: str, extract: Callable[[bytes], str | None] | Sequence[Callable[[bytes], str | None]], min_chars: int = 200) -> DataFrame:
+    """``(path, text, needs_ocr)`` of the PDF files below a folder: text by the function that is passed in, or by the first of
+    several whose text is long enough; files that all fail on, or whose texts are all shorter than ``min_chars``, need
+    character recognition and have a null text."""
+    ways = [extract] if callable(extract) else list(extract)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.[pP][dD][fF]").option("recursiveFileLookup", "true").load(path)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for some in batches:
             texts = []
             for content in some["content"]:
-                try:
-                    text = extract(bytes(content))
-                except Exception:  # noqa: BLE001  one broken file must not end the job
-                    text = None
-                texts.append(text if text and len(text.strip()) >= min_chars else None)
+                found = None
+                for way in ways:
+                    try:
+                        text = way(bytes(content))
+                    except Exception:  # noqa: BLE001  one broken file must not end the job
+                        continue
+                    if text and len(text.strip()) >= min_chars:
+                        found = text
+                        break
+                texts.append(found)
             yield pd.DataFrame({"path": some["path"], "text": texts, "needs_ocr": [t is None for t in texts]})
 
     return files.select("path", "content").mapInPandas(run, "path string, text string, needs_ocr boolean")
 
 
+def ocr_backlog(files: DataFrame) -> DataFrame:
+    """``(files, with_text, needs_ocr)``: how many of each."""
+    return files.agg(F.count("*").alias("files"), F.count_if(~F.col("needs_ocr")).alias("with_text"), F.count_if("needs_ocr").alias("needs_ocr"))
+
+
 def academic(files: DataFrame, source: str, license: str = "unknown", limit: int = -1) -> DataFrame:  # noqa: A002
     """Documents of the PDF files that have text; the limit counts those."""
     kept = _limited(files.where("not needs_ocr"), limit)
@@ -157,6 +169,21 @@ def transcript_url(term: Column | str, base: str) -> Column:
     return F.concat(F.lit(f"{base.rstrip('/')}?donem="), F.url_encode(F.col(term).cast("string") if isinstance(term, str) else term))
 
 
+def fetched(pages: DataFrame, body_col: str = "html", most: int = 10 * 1024 * 1024, status_col: str | None = None) -> DataFrame:
+    """The pages that were fetched well (status 200, if there is a column of it) and whose body is of at most so many bytes."""
+    out = pages.where(F.octet_length(body_col) <= most)
+    return out.where(F.col(status_col) == 200) if status_col else out
+
+
+def transcripts(pages: DataFrame, extract: Callable[[Column], Column] | None = None, source: str = "tbmm", license: str = "public-domain") -> DataFrame:  # noqa: A002
+    """Documents of a parliament's transcripts ``(term, pos, url, html)``: numbered within each term in the order of ``pos``,
+    from 0 on, pages without text not counted. A term's pages are numbered in one task; there are some thousands."""
+    out = pages.withColumn("__text", (extract or html_text)(F.col("html"))).where(F.coalesce(F.col("__text"), F.lit("")) != "")
+    number = F.row_number().over(Window.partitionBy("term").orderBy("pos", "url")) - 1
+    id_ = F.concat_ws("-", F.lit(source), F.col("term").cast("string"), F.col("__number").cast("string"))
+    return record(out.withColumn("__number", number), id_, F.col("__text"), source, license, "parliamentary", url=F.col("url"), term=F.col("term"))
+
+
 def fetched_pages(pages: DataFrame, source: str, license: str, register: str, id_: Column, extract: Callable[[Column], Column] = html_text, min_chars: int = 1) -> DataFrame:  # noqa: A002
     """Documents of pages ``(url, html)`` that were fetched before; too short ones are left out."""
     out = pages.withColumn("__text", extract(F.col("html"))).where(F.length("__text") >= min_chars)

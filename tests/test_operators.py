@@ -272,3 +272,71 @@ def test_entry_works_without_the_training_data_package(tmp_path):
     code = "import __spark_entry__ as e; q = e.queries(); assert len(q) > 40 and not any(n.startswith('op') for n in q) and set(e.oracle_sql()) <= set(q)"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"})
     warnings.resetwarnings()
+
+
+def test_a_word_has_its_time():
+    import time
+
+    def slow(word):
+        if word == "slow":
+            time.sleep(30)
+        return [word[:2], word[2:]]
+
+    began = time.time()
+    assert tokens.segment_word("slow", slow, 0.2) == "slow" and tokens.segment_word("fast", slow, 0.2) == "fa▁st"
+    assert time.time() - began < 10
+
+
+def test_text_of_files_by_several_ways(spark, tmp_path):
+    for name, content in (("a.pdf", b"first " * 60), ("b.PDF", b"second" * 60), ("c.pdf", b"none"), ("d.pdf", b"broken")):
+        (tmp_path / name).write_bytes(content)
+
+    def one(content):
+        if content == b"broken":
+            raise ValueError
+        return content.decode() if content.startswith(b"first") else "short"
+
+    two = lambda content: content.decode() if content.startswith(b"second") else None
+    files = readers.pdf_files(spark, str(tmp_path), [one, two])
+    found = {r.path.rsplit("/", 1)[1]: r.text for r in files.collect()}
+    assert found["a.pdf"].startswith("first") and found["b.PDF"].startswith("second") and found["c.pdf"] is found["d.pdf"] is None
+    assert tuple(readers.ocr_backlog(files).first()) == (4, 2, 2)
+
+
+def test_index_path():
+    assert hosts.index_path("s3a://index/", "CC-MAIN-2024-10") == "s3a://index/crawl=CC-MAIN-2024-10/subset=warc"
+    for crawl, subset in (("CC-MAIN-2024-10/..", "warc"), ("x", "warc"), ("CC-MAIN-2024-10", "warc'")):
+        with pytest.raises(ValueError):
+            hosts.index_path("r", crawl, subset)
+
+
+def test_folder_must_be_shared_off_local_masters():
+    from types import SimpleNamespace
+
+    from corpuswright.plans import storage
+
+    def session(master, folder):
+        conf = SimpleNamespace(get=lambda key, default: folder, set=lambda key, value: None)
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master, getConf=lambda: SimpleNamespace(get=lambda key, default: "")))
+
+    assert storage.shared_dir(session("yarn", "hdfs:///x/")) == "hdfs:///x"
+    assert storage.shared_dir(session("local[4]", "")).startswith("file:/")
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,512]", "k8s://x"):
+        with pytest.raises(RuntimeError):
+            storage.shared_dir(session(master, ""))
+
+
+def test_steps_from_the_command_line(spark, tmp_path, capsys):
+    from corpuswright.plans import cli
+
+    rows = [(f"{s}{i}", f"the words of document {i} in {s} are these", {"source": s}) for s in ("a", "b") for i in range(20)]
+    spark.createDataFrame(rows, "id string, text string, metadata map<string,string>").write.json(str(tmp_path / "docs"))
+    docs = str(tmp_path / "docs")
+    told = lambda *args: (cli.main(list(args)), json.loads(capsys.readouterr().out.splitlines()[-1]))[1]
+    assert told("calibrate", docs, str(tmp_path / "c"))["max_doc_words"] == 100_000 and calibrate.load_artifacts(str(tmp_path / "c")).stop_words
+    assert told("export", docs, str(tmp_path / "e"), "--share", "0.25") == {"train": 30, "eval": 10}
+    assert told("segment", docs, str(tmp_path / "s"))["lines_out"] == 40
+    assert told("fertility", docs)["tokens_per_word"] == 1.0
+    blended = told("blend", docs, str(tmp_path / "b"), "--weight", "a=3", "--weight", "b=1", "--tokens", "1_00")
+    assert {s["name"]: s["docs"] for s in blended["sources"]} == {"a": 9, "b": 3}
+    assert told("tokenizer", docs, str(tmp_path / "t"), "--vocabulary", "400", "--merges", "20")["merges"] <= 20
