@@ -49,6 +49,14 @@ def permutations(n: int = BANDS * ROWS) -> list[tuple[int, int]]:
     return [(1 + (i * 1_103_515_245 + 12_345) % (PRIME - 1), (i * 69_069 + 362_437) * 40_503 % PRIME) for i in range(1, n + 1)]
 
 
+def _modulo(x: np.ndarray) -> np.ndarray:
+    """Remainders of numbers below 2 ** 62 by the prime 2 ** 31 - 1: the upper bits are added to the lower ones, twice."""
+    x = (x & PRIME) + (x >> 31)
+    x = (x & PRIME) + (x >> 31)
+    x[x == PRIME] = 0
+    return x
+
+
 def signature(text: Column | str, n: int = BANDS * ROWS, size: int = SHINGLE) -> Column:
     """Minimum of every hash function over a text's shingles; null for a text without words.
 
@@ -65,7 +73,7 @@ def signature(text: Column | str, n: int = BANDS * ROWS, size: int = SHINGLE) ->
             low = np.full(n, PRIME, dtype=np.int64)
             # a long text in pieces, so that the table of all hashes stays small
             for at in range(0, len(h), 4096):
-                np.minimum(low, ((h[at : at + 4096] * factors + offsets) % PRIME).min(axis=1), out=low)
+                np.minimum(low, _modulo(h[at : at + 4096] * factors + offsets).min(axis=1), out=low)
             return low
 
         return texts.map(of)

@@ -12,6 +12,8 @@ from functools import cache
 from pathlib import Path
 
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +23,8 @@ from corpuswright.plans.storage import written
 MARK = "▁"
 #: Longer words are junk that no analyser should see.
 LONGEST_WORD = 70
+#: Characters of the texts that name their words together.
+BLOCK_CHARS = 8_000_000
 #: Seconds that an analyser may take for one word.
 WORD_SECONDS = 1.0
 
@@ -269,13 +273,59 @@ def over_distinct(words_: DataFrame, fn: Callable[[str], str]) -> DataFrame:
 def segment(df: DataFrame, analyze: Callable[[str], list[str]], id_col: str = "id", text_col: str = "text") -> DataFrame:
     """``(id, text)`` with every word segmented; documents without words are dropped.
 
-    Every different word is analysed once, and the forms are joined back to the places of words (a third of all words may be
-    one: its form is joined under AQE's skew handling); a document's words come together again in order.
+    Texts are taken in blocks of ``BLOCK_CHARS``, and each block names its different words once. Over all blocks every
+    different word is analysed once; the forms are joined back to the blocks' words (not to their places: a word that is a
+    third of all is one row a block), and come together with the block's texts. Texts are written and shuffled once.
     """
-    placed = df.select(F.col(id_col).alias("id"), F.posexplode(words(text_col)).alias("pos", "word"))
-    forms = over_distinct(distinct_words(df, text_col), lambda w: segment_word(w, analyze))
-    joined = placed.join(forms, "word", "left").select("id", F.struct("pos", F.coalesce("form", "word").alias("form")).alias("w"))
-    return joined.groupBy("id").agg(F.array_sort(F.collect_list("w")).alias("w")).select("id", F.array_join(F.col("w.form"), " ").alias("text"))
+    kind = df.schema[id_col].dataType.simpleString()
+
+    def batch(**columns: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(v, pa.int64() if k == "block" else pa.string()) for k, v in columns.items()], names=list(columns))
+
+    def named(block: int, found: set[str]) -> pa.RecordBatch:
+        return batch(block=[block] * len(found), word=sorted(found), id=[None] * len(found), text=[None] * len(found))
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        context = TaskContext.get()
+        block, found, size = (context.partitionId() if context else 0) << 32, set(), 0
+        for some in batches:
+            rows = []
+            for id_, text in zip(some.column("id").to_pylist(), some.column("text").to_pylist(), strict=True):
+                own = (text or "").split()
+                if found and size + len(text or "") > BLOCK_CHARS:
+                    yield named(block, found)
+                    block, found, size = block + 1, set(), 0
+                found.update(own)
+                size += len(text or "")
+                if own:
+                    rows.append((block, id_, " ".join(own)))
+            yield batch(block=[r[0] for r in rows], word=[None] * len(rows), id=[r[1] for r in rows], text=[r[2] for r in rows])
+        if found:
+            yield named(block, found)
+
+    narrow = df.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
+    asked = written(narrow.mapInArrow(ask, "block long, word string, id string, text string"), "blocks")
+    wanted = asked.where("word is not null")
+    forms = over_distinct(wanted.select("word").distinct(), lambda w: segment_word(w, analyze))
+    answers = wanted.join(forms, "word").select("block", "word", "form", F.lit(None).cast("string").alias("id"), F.lit(None).cast("string").alias("text"))
+    rows = answers.unionByName(asked.where("word is null").select("block", "word", F.lit(None).cast("string").alias("form"), "id", "text"))
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, form = None, {}
+        for some in batches:
+            ids, texts = [], []
+            for now, word, own, id_, text in zip(*(some.column(c).to_pylist() for c in ("block", "word", "form", "id", "text")), strict=True):
+                if now != block:
+                    block, form = now, {}
+                if word is not None:
+                    form[word] = own
+                else:
+                    ids.append(id_)
+                    texts.append(" ".join(map(form.__getitem__, text.split(" "))))
+            yield batch(id=ids, text=texts)
+
+    dealt = rows.repartition("block").sortWithinPartitions("block", F.col("word").isNull())
+    return dealt.mapInArrow(fill, "id string, text string").select(F.col("id").cast(kind).alias("id"), "text")
 
 
 def cache_hits(df: DataFrame, text_col: str = "text") -> DataFrame:

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuswright.functions import text
+from corpuswright.functions import markup, text
 from corpuswright.operators import hosts, tokens
 from corpuswright.plans.catalog import _DROPPED, _HOST, _NORMAL, _WS, CLEANING, _sql_html, _sql_redact, documents, query, sql_words, table
 from corpuswright.plans.clean import clean
@@ -116,6 +116,23 @@ def transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("id", F.md5("text").alias("text_md5"), F.col("metadata")["url"].alias("url"))
 
 
+_MORE = "<p>caf&eacute; &#233;&#x1F600; a &lt; b<div>and<br/>so &hellip; on"
+
+
+def _sql_parsed() -> str:
+    out = "replace(html, '<td', chr(10) || '<td')"
+    for entity, plain in (("&copy;", "©"), ("&middot;", "·"), ("&eacute;", "é"), ("&#233;", "é"), ("&#x1F600;", "😀"), ("&hellip;", "…"), ("&nbsp;", " ")):
+        out = f"replace({out}, '{entity}', '{plain}')"
+    return _sql_html().replace("html", out, 1)
+
+
+@query(f"select page_id, md5(t) text_md5 from (select page_id, {_sql_parsed()} t from (select page_id, html || '{_MORE}' html from pages))")
+def html_text_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text of pages by a parser, with character references and unclosed elements behind each page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", F.concat("html", F.lit(_MORE)).alias("html"))
+    return pages.select("page_id", F.md5(markup.html_text("html")).alias("text_md5"))
+
+
 MERGES = [("t", "h"), ("th", "e"), ("i", "n"), ("in", "g"), ("o", "r")]
 
 

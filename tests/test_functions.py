@@ -96,3 +96,25 @@ def test_language_gate(spark):
     rows = [("the cat and the dog", "en"), ("der Hund und die Katze", None), ("the cat and the dog", None), (None, None), ("", "fr")]
     df = spark.createDataFrame(rows, "x string, lang string")
     assert [r[0] for r in df.select(quality.language_gate("x", ("en",), known=F.col("lang"))).collect()] == [True, False, True, False, False]
+
+
+def test_text_of_markup_by_a_parser(spark):
+    from corpuswright.functions import markup
+
+    pages = [
+        ("<head><title>T</title><p>no</head><p>one<p>two &eacute;&#233;&#x1F600; &nbsp;&lt;b&gt;</p><script>if (a < b) '<p>'</script>three", "one\ntwo éé😀 <b>\nthree"),
+        ("<head><style>p{}</style><body><template><p>no</template><td>a<td>b", "a\nb"),
+        ("<p>cut <a href='x", "cut"),
+        ("text <!-- no --> more", "text more"),
+        ("<noscript>no <b>no</b></noscript><noscript>no", ""),
+        ("", ""),
+        (None, None),
+    ]
+    df = spark.createDataFrame([(i, p) for i, (p, _) in enumerate(pages)], "i int, html string")
+    assert [r.t for r in df.select("i", markup.html_text("html").alias("t")).orderBy("i").collect()] == [t for _, t in pages]
+
+
+def test_addresses_of_six_groups(spark):
+    rows = [("2001:db8::1", 1), ("fe80::1:2 and ::1", 2), ("1:2:3:4:5:6:7:8", 1), ("::ffff:10.0.0.1", 1), ("at 10:20:30", 0), ("std::vector", 0), ("a::b::c", 0), ("::", 0)]
+    df = spark.createDataFrame(rows, "t string, n int")
+    assert all(r.u.count(pii.IP) == r.n for r in df.select("n", pii.redact_addresses("t").alias("u")).collect())
