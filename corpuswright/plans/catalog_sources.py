@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuswright.functions import markup, text
-from corpuswright.operators import hosts, tokens
-from corpuswright.plans.catalog import _DROPPED, _HOST, _NORMAL, _WS, CLEANING, _sql_html, _sql_redact, documents, query, sql_words, table
+from corpuswright.operators import blend, calibrate, dedup, hosts, tokens
+from corpuswright.plans.catalog import _CHOSEN, _DROPPED, _FREQ, _HOST, _NORMAL, _WS, BUDGET, CLEANING, SOURCES, _counted, _sql_bands, _sql_html, _sql_redact, documents, query, sql_lower, sql_words, table
 from corpuswright.plans.clean import clean
 from corpuswright.plans.storage import shared_dir
 from corpuswright.sources import readers, writers
@@ -172,3 +172,57 @@ def clean_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = clean(documents(spark, sf_dir), CLEANING, "doc_id").stats
     names = ("prepared", "normalized", "iban", "phone", "tc_kimlik")
     return spark.createDataFrame([tuple(found.get(n, 0) for n in names)], ", ".join(f"{n} long" for n in names))
+
+
+_NEAR = f"""b as materialized ({_sql_bands()}), l as materialized (select distinct m a, id b from b join (select band, "key", min(id) m from b group by all having count(*) > 1) using (band, "key") where m <> id),
+    pairs as materialized (select a, b from l union select b, a from l), reach as (select distinct a id, a r from pairs union select reach.id, pairs.b from reach join pairs on reach.r = pairs.a)"""
+
+
+@query(f"with recursive {_NEAR} select doc_id, md5(text) text_md5, doc_id in (select id from reach group by id having min(r) < id) removed from documents")
+def near_dedup_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that stay and those that go as near duplicates, whole rows of each."""
+    kept, gone = dedup.near_dedup(documents(spark, sf_dir), "doc_id")
+    both = kept.withColumn("removed", F.lit(False)).unionByName(gone.withColumn("removed", F.lit(True)))
+    return both.select("doc_id", F.md5("text").alias("text_md5"), "removed")
+
+
+@query(f"select source, count(*) docs, sum(tokens)::bigint tokens, md5(string_agg(md5(text), '' order by id)) texts_md5 from ({_CHOSEN}) join (select doc_id id, text from documents) using (id) group by source")
+def blend_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A blend written as shards by source, and read again."""
+    path = _fresh(spark, "blend")
+    counted = _counted(spark, sf_dir)
+    chosen = blend.select(counted, SOURCES, BUDGET, seed=7)
+    docs = documents(spark, sf_dir).select(F.col("doc_id").alias("id"), F.col("lang").alias("source"), "text")
+    writers.write_blend(blend.blend(docs, chosen), path)
+    found = spark.read.schema("id long, text string, source string").json(path)
+    ordered = F.array_sort(F.collect_list(F.struct("id", F.md5("text").alias("m"))))
+    return found.withColumn("tokens", text.word_count("text")).groupBy("source").agg(F.count("*").alias("docs"), F.sum("tokens").alias("tokens"), F.md5(F.array_join(F.transform(ordered, lambda x: x["m"]), "")).alias("texts_md5"))
+
+
+@query(f"""select piece, sum(freq)::bigint freq from (select freq, unnest(case when length(w) > {tokens.LONGEST_WORD} or length(w) < 6 then ['▁' || w] else ['▁' || left(w, 4), substr(w, 5)] end) piece
+    from (select w, count(*) freq from (select unnest({sql_words(sql_lower('text'))}) w from documents) group by w)) group by piece order by freq desc, piece limit 300""")
+def top_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The most frequent pieces of an analyser that cuts longer words behind their fourth letter; ties by the piece."""
+    found = tokens.piece_frequencies(documents(spark, sf_dir), lambda w: [w[:4], w[4:]] if len(w) > 5 else [w])
+    return found.orderBy(F.desc("freq"), "piece").limit(300)
+
+
+@query(f"select (select count(*) from ({_FREQ})) vocabulary, count(*) n_docs from documents where len({sql_words('text')}) > 0")
+def calibration_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a calibration tells of its sample: different words and documents that are not blank."""
+    docs = documents(spark, sf_dir)
+    told = calibrate.calibrated(docs)[1]
+    return spark.createDataFrame([(told["n_unique_words"], told["n_docs"])], "vocabulary long, n_docs long")
+
+
+@query(f"select doc_id, md5(array_to_string({sql_words('text')}, ' ')) decoded_md5 from documents")
+def saved_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tokenizer that was saved and loaded again gives texts back, spaces collapsed."""
+    import tempfile
+
+    docs, folder = documents(spark, sf_dir), tempfile.mkdtemp()
+    # read by the driver alone
+    tokens.build_tokenizer(docs, tokens.suffixes, vocabulary=3000, n_merges=50, top=1000).save(folder)
+    made = tokens.Tokenizer.load(folder, tokens.suffixes)
+    ids = docs.select("doc_id", tokens.encode_column(made)("text").alias("ids"))
+    return ids.select("doc_id", F.md5(tokens.decode_column(made)("ids")).alias("decoded_md5"))
