@@ -158,19 +158,17 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
 def short_leaks(items: Items, coded: np.ndarray, begin: np.ndarray) -> Iterator[tuple[int, int, float, int, int, int]]:
     """Leaks of the items of fewer words than an n-gram: the first place in each text where all their words stand in a row."""
     for size in sorted({len(words) for words in items.short}):
-        wanted = {words: some for words, some in items.short.items() if len(words) == size}
-        keys = np.array(sorted(sum(w * items.base ** (size - 1 - i) for i, w in enumerate(words)) for words in wanted), dtype=np.int64)
+        code = lambda words: sum(w * items.base ** (size - 1 - i) for i, w in enumerate(words))  # noqa: E731, B023
+        by_key = {code(words): some for words, some in items.short.items() if len(words) == size}
+        keys = np.array(sorted(by_key), dtype=np.int64)
         n = len(coded) - size + 1
-        known = np.ones(n, dtype=bool)
-        for i in range(size):
-            known &= coded[i : i + n] >= 0
-        at = np.flatnonzero(known)
-        found = sum(coded[at + i] * items.base ** (size - 1 - i) for i in range(size))
+        rows = [coded[i : i + n] for i in range(size)]
+        at = np.flatnonzero(np.minimum.reduce(rows) >= 0)
+        found = code([row[at] for row in rows])
         place = np.minimum(np.searchsorted(keys, found), len(keys) - 1)
         at, place = at[keys[place] == found], place[keys[place] == found]
         text = np.searchsorted(begin, at, side="right") - 1
         _, first = np.unique(text * len(keys) + place, return_index=True)
-        by_key = {sum(w * items.base ** (size - 1 - i) for i, w in enumerate(words)): some for words, some in wanted.items()}
         for j in first.tolist():
             t, word = int(text[j]), int(at[j] - begin[text[j]])
             for i in by_key[int(keys[place[j]])]:
