@@ -344,6 +344,7 @@ def segmentation_stats(df: DataFrame, text_col: str = "text") -> DataFrame:
 
 # ---- tokenizer
 
+# The first ids of the vocabulary, in order; 256 bytes follow them.
 SPECIALS = ("PAD", "UNK", "BOS", "EOS", "WORD_BOUNDARY", "CAP", "UPPER")
 
 
