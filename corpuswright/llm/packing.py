@@ -15,6 +15,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import unicodedata
 import zlib
 from collections.abc import Callable, Iterator
 from functools import cache
@@ -33,6 +34,14 @@ END_ID = 2
 #: No combining marks, white space or control characters, nor the letter whose lower case is two characters: here lower case
 #: and canonical composition work character by character, whatever the Unicode version.
 _SIMPLE = re.compile("[!-~\u00a1-\u012f\u0131-\u024f]+").fullmatch
+#: The same, with spaces and line feeds.
+_PLAIN = re.compile("[ \n!-~\u00a1-\u012f\u0131-\u024f]*").fullmatch
+
+
+def _of_category(kind: str) -> str:
+    """The characters of simple words, in lower case, that are of a Unicode category; some of these lie beyond the simple ones."""
+    chars = {chr(c).lower() for c in range(0x21, 0x250) if _SIMPLE(chr(c))}
+    return "".join(sorted(re.escape(c) for c in chars if unicodedata.category(c)[0] == kind))
 
 
 def default_tokenizer() -> str:
@@ -42,10 +51,11 @@ def default_tokenizer() -> str:
 
 
 class WordEncoder:
-    """Ids of the ``tokenizers`` library for whole texts, encoding each distinct word once.
+    """Ids of the ``tokenizers`` library for whole texts, encoding each distinct part of a word once.
 
     The tokenizer drops white space and no token spans it, so the ids of a text are those of its words (split at spaces and
-    line feeds only) one after another.
+    line feeds only) one after another. Likewise no token spans two of the parts that its pre-tokenizer makes of a word. Texts
+    of Latin letters and signs are cut into these parts at once, others word by word.
     """
 
     def __init__(self, path: str) -> None:
@@ -54,7 +64,15 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.find = regex.compile(json.loads(Path(path).read_text(encoding="utf-8"))["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
+        setting = json.loads(Path(path).read_text(encoding="utf-8"))
+        pattern = setting["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+        # over simple words in lower case, listed characters are the same as categories, and ``re`` is faster
+        listed = pattern.replace(r"\p{L}", _of_category("L")).replace(r"\p{N}", _of_category("N"))
+        self.find = (regex if "\\p" in listed.lower() else re).compile(listed).findall
+        # for parts, which are normalised and found already
+        spaces = {"type": "WhitespaceSplit"}
+        setting |= {"normalizer": None, "added_tokens": [], "pre_tokenizer": {"type": "Sequence", "pretokenizers": [spaces, *setting["pre_tokenizer"]["pretokenizers"][1:]]}}
+        self.plain = Tokenizer.from_str(json.dumps(setting))
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -67,9 +85,9 @@ class WordEncoder:
     def _encode_parts(self, parts: list[str]) -> list[bytes]:
         """Ids of strings that are one token of the pre-tokenizer each, set apart by spaces."""
         out: list[bytes] = []
-        for at in range(0, len(parts), 4000):
-            some = parts[at : at + 4000]
-            coded = self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0]
+        for at in range(0, len(parts), 1000):
+            some = parts[at : at + 1000]
+            coded = self.plain.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0]
             ids = np.array(coded.ids, dtype="<u4")
             ends = (np.flatnonzero(self.ends[ids]) + 1).tolist()
             if len(ends) != len(some) or ends[-1] != len(ids):
@@ -79,23 +97,25 @@ class WordEncoder:
             out += [raw[4 * a : 4 * b] for a, b in zip([0, *ends], ends, strict=False)]
         return out
 
+    def _by_parts(self, texts: list[str]) -> list[bytes]:
+        split = [self.find(t.lower()) for t in texts]
+        get = self.parts.learn(split).__getitem__
+        return [b"".join(map(get, some)) for some in split]
+
     def _encode(self, words: list[str]) -> list[bytes]:
         """Words of Latin letters and signs go by their parts, all others through the tokenizer itself."""
-        of, split = {}, {}
-        for word in words:
-            if _SIMPLE(word) and "<|" not in word:
-                split[word] = self.find(word.lower())
-            else:
-                of[word] = self._ids(word)
-        get = self.parts.learn(split.values()).__getitem__
-        of.update((word, b"".join(map(get, some))) for word, some in split.items())
-        return [of[word] for word in words]
+        simple = [w for w in words if _SIMPLE(w) and "<|" not in w]
+        of = dict(zip(simple, self._by_parts(simple), strict=True))
+        return [of[w] if w in of else self._ids(w) for w in words]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        words = [t.replace("\n", " ").split(" ") for t in texts]
+        plain = [bool(_PLAIN(t)) and "<|" not in t for t in texts]
+        of_plain = iter(self._by_parts([t for t, p in zip(texts, plain, strict=True) if p]))
+        words = [t.replace("\n", " ").split(" ") for t, p in zip(texts, plain, strict=True) if not p]
         get = self.cache.learn(words).__getitem__
-        return [b"".join(map(get, w)) for w in words]
+        of_others = iter([b"".join(map(get, w)) for w in words])
+        return [next(of_plain if p else of_others) for p in plain]
 
 
 @cache
