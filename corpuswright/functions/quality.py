@@ -142,7 +142,8 @@ def repeated_parts(text: Column | str) -> Column:
             kept = F.array_distinct(parts)
             once = F.aggregate(F.transform(kept, F.length), F.lit(0), lambda a, b: a + b)
             n = F.size(parts).cast("double")
-            found += [((n - F.size(kept)) / n).alias(f"dup_{name}_frac"), ((size - once) / m["size"].cast("double")).alias(f"dup_{name}_char_frac")]
+            # an empty text has no share of characters
+            found += [((n - F.size(kept)) / n).alias(f"dup_{name}_frac"), F.try_divide((size - once).cast("double"), m["size"].cast("double")).alias(f"dup_{name}_char_frac")]
         return F.struct(*found)
 
     trimmed = strip(text)
