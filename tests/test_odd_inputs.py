@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpuswright.functions import quality
+from corpuswright.functions import markup, quality
 
 
 def test_repetition_of_texts_without_a_character(spark):
@@ -11,3 +11,7 @@ def test_repetition_of_texts_without_a_character(spark):
     assert [r.why for r in df.select("i", quality.gopher_repetition("text").alias("why")).orderBy("i").collect()] == ["blank", "blank", "blank", None, "dup_line_frac"]
     empty = df.where("i = 0").select(quality.repeated_parts("text").alias("p")).first().p
     assert (empty.dup_line_frac, empty.dup_line_char_frac, empty.dup_para_char_frac) == (0.0, None, None)
+
+
+def test_references_without_a_semicolon_stay():
+    assert markup.read("<title>a &amp; b&amp</title><p>AT&amp;T &copy 1 &notit; &amp;lt; &#65; &#x42; &eacute;&") == "\na & b&amp\n\nAT&T &copy 1 &notit; &lt; A B é&"
