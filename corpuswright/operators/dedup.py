@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from hashlib import md5
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+try:
+    # the interpreter's own, which is not looked up by name for every run of words
+    from _md5 import md5
+except ImportError:
+    from hashlib import md5
+
 from corpuswright.functions.text import dedup_key
 from corpuswright.operators.graph import components
 from corpuswright.plans.storage import written
@@ -37,8 +43,13 @@ def shingle_hashes(text: str, size: int = SHINGLE) -> np.ndarray:
     """The leading 31 bits of the MD5 digest (which any SQL engine can work out) of each different run of ``size`` words; a
     shorter text is one run, a text without words has none."""
     some = text.split()
-    runs = {" ".join(some[i : i + size]) for i in range(max(1, len(some) - size + 1))} if some else ()
-    return np.fromiter((int.from_bytes(md5(r.encode("utf-8", "surrogatepass")).digest()[:4], "big") >> 1 for r in runs), np.int64)
+    if not some:
+        return np.zeros(0, np.int64)
+    line = " ".join(some).encode("utf-8", "surrogatepass")
+    sizes = map(len, some) if text.isascii() else (len(w.encode("utf-8", "surrogatepass")) for w in some)
+    ends = list(accumulate(sizes, lambda a, n: a + n + 1))
+    runs = {line[a:b] for a, b in zip([0, *(e + 1 for e in ends)], ends[size - 1 :], strict=False)} if len(some) > size else {line}
+    return (np.frombuffer(b"".join([md5(r).digest() for r in runs]), ">u4")[::4] >> 1).astype(np.int64)
 
 
 PRIME = (1 << 31) - 1
@@ -49,12 +60,30 @@ def permutations(n: int = BANDS * ROWS) -> list[tuple[int, int]]:
     return [(1 + (i * 1_103_515_245 + 12_345) % (PRIME - 1), (i * 69_069 + 362_437) * 40_503 % PRIME) for i in range(1, n + 1)]
 
 
-def _modulo(x: np.ndarray) -> np.ndarray:
-    """Remainders of numbers below 2 ** 62 by the prime 2 ** 31 - 1: the upper bits are added to the lower ones, twice."""
-    x = (x & PRIME) + (x >> 31)
-    x = (x & PRIME) + (x >> 31)
-    x[x == PRIME] = 0
-    return x
+#: Hashes that are worked out together: their products with all factors stay in a core's cache.
+_TOGETHER = 64
+
+
+def least_hashes(h: np.ndarray, factors: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The least remainder of ``h * factor + offset`` by the prime 2 ** 31 - 1, for every factor and its offset.
+
+    The numbers are below the prime's square: their upper bits added to the lower ones are below twice the prime, which fits
+    32 bits; where that is less than the prime, taking it off wraps around to a larger number.
+    """
+    low = np.full(len(factors), PRIME, dtype=np.uint32)
+    x, y = (np.empty((_TOGETHER, len(factors)), np.int64) for _ in range(2))
+    for at in range(0, len(h), _TOGETHER):
+        some = h[at : at + _TOGETHER, None]
+        x, y = x[: len(some)], y[: len(some)]
+        np.multiply(some, factors, out=x)
+        x += offsets
+        np.right_shift(x, 31, out=y)
+        x &= PRIME
+        x += y
+        rest = x.astype(np.uint32)
+        np.minimum(rest, rest - np.uint32(PRIME), out=rest)
+        np.minimum(low, rest.min(axis=0), out=low)
+    return low.astype(np.int64)
 
 
 def signature(text: Column | str, n: int = BANDS * ROWS, size: int = SHINGLE) -> Column:
@@ -62,7 +91,7 @@ def signature(text: Column | str, n: int = BANDS * ROWS, size: int = SHINGLE) ->
 
     One pass in Python: as an expression, the words would be split again for every shingle. The products fit 64 bits.
     """
-    factors, offsets = (np.array(x, dtype=np.int64)[:, None] for x in zip(*permutations(n), strict=True))
+    factors, offsets = (np.array(x, dtype=np.int64) for x in zip(*permutations(n), strict=True))
 
     @F.pandas_udf("array<long>")
     def least(texts: pd.Series) -> pd.Series:
@@ -70,11 +99,7 @@ def signature(text: Column | str, n: int = BANDS * ROWS, size: int = SHINGLE) ->
             h = shingle_hashes(t or "", size)
             if not len(h):
                 return None
-            low = np.full(n, PRIME, dtype=np.int64)
-            # a long text in pieces, so that the table of all hashes stays small
-            for at in range(0, len(h), 4096):
-                np.minimum(low, _modulo(h[at : at + 4096] * factors + offsets).min(axis=1), out=low)
-            return low
+            return least_hashes(h, factors, offsets)
 
         return texts.map(of)
 
