@@ -46,17 +46,25 @@ def let(values: dict[str, Column], then: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(F.struct(*[c.alias(k) for k, c in values.items()])), then), F.lit(0))
 
 
+def _occurrences(text: Column, plain: str) -> Column:
+    """How often a plain string occurs, counted apart from the left."""
+    return ((F.length(text) - F.length(F.replace(text, F.lit(plain), F.lit("")))) / len(plain)).cast("int")
+
+
 def _counts(text: Column) -> dict[str, Column]:
-    """What the metrics are made of: one pass of a pattern each, no array of words."""
+    """What the metrics are made of; the words in lower case are split once."""
     return {
-        "n": F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long"),
-        "chars": F.length(F.regexp_replace(turkish_lower(text), f"{SPACE}+", "")),
-        # three dots are counted apart from each other, from the left
-        "symbols": F.regexp_count(text, F.lit(r"#|…|\.\.\.")),
+        "low": words(turkish_lower(text)),
+        "symbols": sum((_occurrences(text, x) for x in ("…", "...")), _occurrences(text, "#")),
         "lettered": F.regexp_count(text, F.lit(LETTERED)),
     }
 
 
+def _sizes(m: Column) -> tuple[Column, Column]:
+    """Words, and their characters in lower case."""
+    return F.size(m["low"]).cast("long"), F.length(F.array_join(m["low"], ""))
+
+
 def metrics(text: Column | str) -> Column:
     """``n_words, mean_word_length, symbol_word_ratio, non_alpha_words_ratio``; null for blank texts.
 
@@ -65,8 +73,9 @@ def metrics(text: Column | str) -> Column:
     text = F.col(text) if isinstance(text, str) else text
 
     def of(m: Column) -> Column:
-        n = m["n"].cast("double")
-        return F.when(m["n"] > 0, F.struct(m["n"].alias("n_words"), (m["chars"] / n).alias("mean_word_length"), (m["symbols"] / n).alias("symbol_word_ratio"), ((n - m["lettered"]) / n).alias("non_alpha_words_ratio")))
+        many, chars = _sizes(m)
+        n = many.cast("double")
+        return F.when(many > 0, F.struct(many.alias("n_words"), (chars / n).alias("mean_word_length"), (m["symbols"] / n).alias("symbol_word_ratio"), ((n - m["lettered"]) / n).alias("non_alpha_words_ratio")))
 
     return let(_counts(text), of)
 
@@ -91,24 +100,25 @@ def gopher_quality(text: Column | str, limits: Thresholds = Thresholds()) -> Col
     known = F.array(*map(F.lit, limits.stop_words)) if limits.stop_words else F.array().cast("array<string>")
 
     def of(m: Column) -> Column:
-        n, rows = m["n"].cast("double"), m["rows"]
+        many, chars = _sizes(m)
+        n, rows = many.cast("double"), m["rows"]
         bare = (n - m["lettered"]) / n
         return first_reason(
             [
-                ("blank", m["n"] == 0),
-                ("too_few_words", m["n"] < limits.min_doc_words),
-                ("too_many_words", m["n"] > limits.max_doc_words),
-                ("words_too_short", m["chars"] / n < limits.min_avg_word_length),
-                ("words_too_long", m["chars"] / n > limits.max_avg_word_length),
+                ("blank", many == 0),
+                ("too_few_words", many < limits.min_doc_words),
+                ("too_many_words", many > limits.max_doc_words),
+                ("words_too_short", chars / n < limits.min_avg_word_length),
+                ("words_too_long", chars / n > limits.max_avg_word_length),
                 ("symbols", m["symbols"] / n > limits.max_symbol_word_ratio),
                 ("bullets", _share(F.filter(rows, lambda x: x.rlike("^[•●‣\\-*]")), rows) > limits.max_bullet_lines_ratio),
                 ("ellipses", _share(F.filter(rows, lambda x: x.rlike(r"(?:\.\.\.|…)$")), rows) > limits.max_ellipsis_lines_ratio),
                 ("letters", bare > limits.max_non_alpha_words_ratio if limits.alpha_rule == "intent" else (1 - bare) < limits.max_non_alpha_words_ratio),
-                ("stop_words", m["stops"] < limits.min_stop_words),
+                ("stop_words", F.size(F.array_intersect(m["low"], known)) < limits.min_stop_words),
             ]
         )
 
-    return let(_counts(text) | {"rows": lines(text), "stops": F.size(F.array_intersect(words(turkish_lower(text)), known))}, of)
+    return let(_counts(text) | {"rows": lines(text)}, of)
 
 
 def fineweb_quality(text: Column | str, min_ended: float = 0.12, max_repeated: float = 0.1, max_short: float = 0.67, short: int = 30) -> Column:
@@ -163,43 +173,54 @@ def gram_shares(text: str) -> list[float]:
     that is a word shorter and its last word.
     """
     some, size = text.split(), max(len(text), 1)
-    number: dict[str, int] = {}
-    gram = word = np.fromiter((number.setdefault(w, len(number)) for w in some), np.int64, len(some))
+    number = {w: i for i, w in enumerate(dict.fromkeys(some))}
+    word = np.fromiter(map(number.__getitem__, some), np.int64, len(some))
     ends = np.concatenate(([0], np.cumsum(np.fromiter(map(len, some), np.int64, len(some)))))
+    # only n-grams whose beginnings are met again can be met again: places, and the numbers of the n-grams there
+    place, gram = np.arange(len(some)), word
     out: list[float] = []
     for n in range(2, DUP_GRAMS[-1][0] + 1):
-        many = len(some) - n + 1
-        if many <= 0:
-            gram = np.zeros(0, np.int64)
+        if len(place) and place[-1] + n > len(some):
+            place, gram = place[:-1], gram[:-1]
+        if len(place) < 2:
+            place = gram = np.zeros(0, np.int64)
             out.append(0.0)
             continue
-        _, first, gram, times = np.unique(gram[:many] * len(number) + word[n - 1 :], return_index=True, return_inverse=True, return_counts=True)
-        chars = ends[n:] - ends[:many]
+        key = gram * len(number) + word[place + n - 1]
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        same = key[1:] == key[:-1]
+        met = np.zeros(len(key), bool)
+        met[1:] = same
+        met[:-1] |= same
         if n <= TOP_GRAMS[-1][0]:
-            own = chars[first] + n - 1
-            top = np.lexsort((own, times))[-1]
-            out.append(int(times[top]) * int(own[top]) / size if times[top] > 1 else 0.0)
-        else:
-            out.append(_read_again(gram, first, chars, n) / size)
+            if met.any():
+                begins = np.flatnonzero(~np.concatenate(([False], same)))
+                times = np.diff(begins, append=len(key))
+                first = place[order[begins[times == times.max()]]]
+                out.append(int(times.max()) * int((ends[first + n] - ends[first]).max() + n - 1) / size)
+            else:
+                out.append(0.0)
+        order = order[met]
+        back = np.argsort(order)
+        number_of = np.cumsum(np.concatenate(([0], ~same)))[met]
+        place, gram = place[order[back]], number_of[back]
+        if n > TOP_GRAMS[-1][0]:
+            out.append(_read_again(gram, place, ends[place + n] - ends[place], n) / size)
     return out
 
 
-def _read_again(gram: np.ndarray, first: np.ndarray, chars: np.ndarray, n: int) -> int:
-    """Characters of the n-grams that were read before; ``first``: where each is met first, ``chars``: their sizes."""
-    again = np.ones(len(gram), dtype=bool)
-    again[first] = False
-    read, at, total = np.zeros(len(first), dtype=bool), 0, 0
-    for place in np.flatnonzero(again).tolist():
-        if place < at:
+def _read_again(gram: np.ndarray, place: np.ndarray, chars: np.ndarray, n: int) -> int:
+    """Characters of the n-grams that were read before, of those that occur more than once; ``chars``: their sizes."""
+    read, at, total = set(), 0, 0
+    for i, g, size in zip(place.tolist(), gram.tolist(), chars.tolist(), strict=True):
+        if i < at:
             continue
-        # all that comes between is met first
-        read[gram[at:place]] = True
-        if read[gram[place]]:
-            total += int(chars[place])
-            at = place + n
+        if g in read:
+            total += size
+            at = i + n
         else:
-            read[gram[place]] = True
-            at = place + 1
+            read.add(g)
     return total
 
 
