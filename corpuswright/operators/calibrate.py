@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from corpuswright.functions import stopwords
 from corpuswright.functions.quality import Thresholds, metrics
-from corpuswright.functions.text import WORD, turkish_lower, words
+from corpuswright.functions.text import WORD
+from corpuswright.operators import tokens
 from corpuswright.plans.storage import written
 
 METRICS = ("n_words", "mean_word_length", "symbol_word_ratio", "non_alpha_words_ratio")
@@ -26,12 +27,16 @@ QUANTILES = (0.01, 0.05, 0.10, 0.25, 0.50, 0.75, 0.90, 0.95, 0.99)
 
 def word_frequencies(df: DataFrame, text_col: str = "text") -> DataFrame:
     """``(word, freq)`` of the words of letters alone, in Turkish lower case."""
-    return df.select(F.explode(words(turkish_lower(text_col))).alias("word")).where(F.col("word").rlike(r"^\p{L}+$")).groupBy("word").agg(F.count("*").alias("freq"))
+    return tokens.word_table(df, text_col).where(F.col("word").rlike(r"^\p{L}+$"))
 
 
 def stop_words(df: DataFrame, top_n: int = 175, min_length: int = 1, text_col: str = "text") -> DataFrame:
     """The ``top_n`` most frequent words of at least ``min_length`` letters; ties by the word."""
-    return word_frequencies(df, text_col).where(F.length("word") >= min_length).orderBy(F.desc("freq"), "word").limit(top_n)
+    return _most_frequent(word_frequencies(df, text_col), top_n, min_length)
+
+
+def _most_frequent(found: DataFrame, top_n: int, min_length: int = 1) -> DataFrame:
+    return found.where(F.length("word") >= min_length).orderBy(F.desc("freq"), "word").limit(top_n)
 
 
 def document_metrics(df: DataFrame, text_col: str = "text") -> DataFrame:
@@ -141,11 +146,12 @@ def calibrated(df: DataFrame, strategy: str = "quantile", q: float = 0.005, top_
     n = values.count()
     if not n:
         raise ValueError("the sample has no words")
-    words_ = tuple(r.word for r in stop_words(df, top_n, text_col=text_col).collect())
+    vocabulary = written(word_frequencies(df, text_col), "vocabulary")
+    words_ = tuple(r.word for r in _most_frequent(vocabulary, top_n).collect())
     names = [c.split()[0] for c in LIMITS.split(", ")]
     found = replace(PLAIN, **dict(zip(names, _limits(values, strategy, q), strict=True)), stop_words=words_)
     seen = quantiles(values, {m: [q, 1.0 - q] for m in METRICS})
-    told = {"strategy": strategy, "q": q, "top_n": top_n, "n_docs": n, "n_unique_words": word_frequencies(df, text_col).count(), "thresholds": numbers(found), "sample_quantiles": {m: {"low": a, "high": b} for m, (a, b) in seen.items()}}
+    told = {"strategy": strategy, "q": q, "top_n": top_n, "n_docs": n, "n_unique_words": vocabulary.count(), "thresholds": numbers(found), "sample_quantiles": {m: {"low": a, "high": b} for m, (a, b) in seen.items()}}
     return found, told
 
 

@@ -9,8 +9,10 @@ from collections import Counter, defaultdict
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 from functools import cache
+from itertools import chain
 from pathlib import Path
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
@@ -28,9 +30,35 @@ BLOCK_CHARS = 8_000_000
 #: Seconds that an analyser may take for one word.
 WORD_SECONDS = 1.0
 
+#: Different words that a worker holds at once, and their characters.
+HELD_WORDS, HELD_CHARS = 200_000, 3_000_000
+
 Merges = list[tuple[str, str]]
 
 
+class Held(dict):
+    """Values of keys, each worked out when it is first asked for; emptied when it has too many keys or characters.
+
+    A value is a function of its key alone, so emptying changes only the time taken.
+    """
+
+    def __init__(self, compute: Callable, most: int = HELD_WORDS, chars: int = HELD_CHARS) -> None:
+        super().__init__()
+        self.compute, self.most, self.chars, self.size = compute, most, chars, 0
+
+    def __missing__(self, key: str | bytes) -> object:
+        if len(self) >= self.most or self.size + len(key) > self.chars:
+            self.clear()
+            self.size = 0
+        self.size += len(key)
+        found = self[key] = self.compute(key)
+        return found
+
+    def __reduce__(self) -> tuple:
+        # what one process holds is not sent to others
+        return Held, (self.compute, self.most, self.chars)
+
+
 # ---- counters
 
 @cache
@@ -64,8 +92,11 @@ def counter(spec: str | None = None, analyze: Callable[[str], list[str]] | None
         segmenter = MergeEncoder(load_merges(spec), analyze or (lambda w: [w]))
 
         @F.pandas_udf("long")
-        def count_merged(texts: pd.Series) -> pd.Series:
-            return texts.map(lambda t: sum(len(segmenter.pieces(w)) for w in t.split()) if t else 0)
+        def count_merged(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            # numbers alone are held, not the pieces
+            number = Held(lambda w: len(segmenter.merged(w))).__getitem__
+            for some in texts:
+                yield some.map(lambda t: sum(map(number, t.split())) if t else 0)
 
         return count_merged
 
@@ -182,15 +213,44 @@ def learn_merges_distributed(table: DataFrame, n_merges: int, min_freq: int = 2)
     return merges
 
 
+def counted_words(df: DataFrame, text: Column) -> DataFrame:
+    """``(word, freq)`` of the words of a column. Tasks count ``HELD_WORDS`` different words at a time, so that what is
+    exchanged is a row for each of these, not for every word."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter = Counter()
+        held = 0
+        told = lambda: pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.string()), pa.array(seen.values(), pa.int64())], names=["word", "freq"])
+        for some in batches:
+            for value in some.column("text"):
+                text = value.as_py()
+                if not text:
+                    continue
+                seen.update(text.split())
+                held += len(text)
+                if len(seen) > HELD_WORDS or held > 20 * HELD_CHARS:
+                    yield told()
+                    seen.clear()
+                    held = 0
+        if seen:
+            yield told()
+
+    found = df.select(text.alias("text")).mapInArrow(count, "word string, freq long")
+    return found.groupBy("word").agg(F.sum("freq").alias("freq"))
+
+
 def word_table(df: DataFrame, text_col: str = "text", top: int = 0) -> DataFrame:
     """``(word, freq)`` of lower-cased words; ``top``: the most frequent ones, ties by the word."""
-    out = df.select(F.explode(words(turkish_lower(text_col))).alias("word")).groupBy("word").agg(F.count("*").alias("freq"))
+    out = counted_words(df, turkish_lower(text_col))
     return out.orderBy(F.desc("freq"), "word").limit(top) if top > 0 else out
 
 
 def train_merges(df: DataFrame, n_merges: int, top: int = 40_000, min_freq: int = 2, text_col: str = "text") -> Merges:
     """Byte-pair merges from the ``top`` most frequent words, which are all that the driver gets."""
-    table = word_table(df, text_col, top)
+    return _train(word_table(df, text_col, top), n_merges, min_freq)
+
+
+def _train(table: DataFrame, n_merges: int, min_freq: int = 2) -> Merges:
     return learn_merges(((list(byte_chars(r.word)), r.freq) for r in table.toLocalIterator()), n_merges, min_freq)
 
 
@@ -203,20 +263,17 @@ def load_merges(path: str) -> Merges:
 
 
 class MergeEncoder:
-    """Pieces of words: morphemes, joined again by merges. Each worker keeps the words that it has seen, within a bound."""
+    """Pieces of words: morphemes, joined again by merges. Each worker keeps words that it has seen, within bounds."""
 
-    def __init__(self, merges: Merges, analyze: Callable[[str], list[str]], bound: int = 1_000_000) -> None:
+    def __init__(self, merges: Merges, analyze: Callable[[str], list[str]], bound: int = HELD_WORDS) -> None:
         self.rank = {pair: i for i, pair in reversed(list(enumerate(merges)))}
-        self.analyze, self.bound, self.seen = analyze, bound, {}
+        self.analyze, self.seen = analyze, Held(self.merged, bound)
+
+    def merged(self, word: str) -> list[str]:
+        return apply_merges([word] if len(word) > LONGEST_WORD else self.analyze(word) or [word], self.rank)
 
     def pieces(self, word: str) -> list[str]:
-        found = self.seen.get(word)
-        if found is None:
-            if len(self.seen) >= self.bound:
-                self.seen.clear()
-            morphemes = [word] if len(word) > LONGEST_WORD else self.analyze(word) or [word]
-            found = self.seen[word] = apply_merges(morphemes, self.rank)
-        return found
+        return self.seen[word]
 
 
 # ---- segmentation
@@ -392,6 +449,10 @@ class Tokenizer:
         self.string = [*SPECIALS, *self.byte_id, *pieces]
         self.cap, self.upper, self.boundary = SPECIALS.index("CAP"), SPECIALS.index("UPPER"), SPECIALS.index("WORD_BOUNDARY")
 
+        #: Ids of words, and texts of the ids of single words (as bytes of 32-bit numbers), as they are asked for.
+        self.ids_of, self.text_of = Held(self.word), Held(lambda ids: self._decode(np.frombuffer(ids, np.int32).tolist()), chars=4 * HELD_CHARS)
+        self.begins = np.array([i == self.boundary or i >= self.first_piece and s.startswith(MARK) for i, s in enumerate(self.string)])
+
     @property
     def size(self) -> int:
         return len(self.string)
@@ -418,10 +479,23 @@ class Tokenizer:
         return marker + out
 
     def encode(self, text: str, bos: bool = False, eos: bool = False) -> list[int]:
-        ids = [i for w in text.split() for i in self.word(w)]
+        ids = list(chain.from_iterable(map(self.ids_of.__getitem__, text.split())))
         return [SPECIALS.index("BOS")] * bos + ids + [SPECIALS.index("EOS")] * eos
 
     def decode(self, ids: Iterable[int]) -> str:
+        """The words of the ids. Where every word's beginning can be told from two ids, words met before are not read again."""
+        some = np.asarray(ids if isinstance(ids, np.ndarray) else list(ids), dtype=np.int32)
+        if not len(some) or some.min() < 0 or some.max() >= len(self.begins):
+            return self._decode(some.tolist())
+        marks, begins = (some == self.cap) | (some == self.upper), self.begins[some]
+        if not (marks[0] or begins[0]) or marks[-1] or (marks[:-1] & ~begins[1:]).any() or ((some < len(SPECIALS)) & ~marks & ~begins).any():
+            return self._decode(some.tolist())
+        begins[1:] &= ~marks[:-1]
+        at = (4 * np.flatnonzero(begins | marks)).tolist()
+        raw = some.tobytes()
+        return " ".join(filter(None, map(self.text_of.__getitem__, [raw[a:b] for a, b in zip(at, [*at[1:], len(raw)], strict=True)])))
+
+    def _decode(self, ids: list[int]) -> str:
         out: list[str] = []
         case, held, marker = 0, bytearray(), 0
 
@@ -463,7 +537,10 @@ class Tokenizer:
 
 def piece_frequencies(df: DataFrame, analyze: Callable[[str], list[str]], text_col: str = "text") -> DataFrame:
     """``(piece, freq)`` of the pieces of all words, those that start a word with the mark; each different word analysed once."""
-    table = word_table(df, text_col)
+    return _piece_frequencies(written(word_table(df, text_col), "words"), analyze)
+
+
+def _piece_frequencies(table: DataFrame, analyze: Callable[[str], list[str]]) -> DataFrame:
     forms = over_distinct(table, lambda w: MARK + MARK.join([w] if len(w) > LONGEST_WORD else analyze(w) or [w]))
     parts = F.split(F.expr(f"substring(form, {len(MARK) + 1})"), MARK)
     marked = F.transform(parts, lambda p, i: F.when(i == 0, F.concat(F.lit(MARK), p)).otherwise(p))
@@ -472,18 +549,20 @@ def piece_frequencies(df: DataFrame, analyze: Callable[[str], list[str]], text_c
 
 def build_tokenizer(df: DataFrame, analyze: Callable[[str], list[str]], vocabulary: int = 64_000, n_merges: int = 16_000, top: int = 40_000, text_col: str = "text") -> Tokenizer:
     """A tokenizer of at most ``vocabulary`` ids; the driver gets the ``top`` words and the most frequent pieces, no more."""
-    merges = train_merges(df, n_merges, top, text_col=text_col)
+    table = written(word_table(df, text_col), "words")
+    most = table.orderBy(F.desc("freq"), "word").limit(top) if top > 0 else table
+    merges = _train(most, n_merges)
     room = vocabulary - len(SPECIALS) - 256 - len({a + b for a, b in merges})
     if room < 0:
         raise ValueError("the vocabulary has no room for its bytes and merges")
-    ranked = piece_frequencies(df, analyze, text_col).orderBy(F.desc("freq"), "piece").limit(room)
+    ranked = _piece_frequencies(table, analyze).orderBy(F.desc("freq"), "piece").limit(room)
     return Tokenizer(merges, [r.piece for r in ranked.toLocalIterator()], analyze)
 
 
 def encode_column(tokenizer: Tokenizer) -> Callable[[Column], Column]:
     @F.pandas_udf("array<int>")
     def encode(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: None if t is None else tokenizer.encode(t))
+        return texts.map(lambda t: None if t is None else np.array(tokenizer.encode(t), np.int32))
 
     return encode
 
