@@ -12,7 +12,7 @@ from corpuswright.functions import pii, quality, text
 from corpuswright.operators import blend, calibrate, dedup, hosts, tokens
 from corpuswright.plans.clean import clean, reasons
 from corpuswright.plans.config import Cleaning
-from corpuswright.plans.storage import written
+from corpuswright.plans.storage import spread, written
 from corpuswright.sources import readers
 from corpuswright.streaming.clean import event_counts
 
@@ -35,7 +35,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents")
+    return spread(table(spark, sf_dir, "documents"))
 
 
 #: The test documents are in these languages.

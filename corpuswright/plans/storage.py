@@ -29,3 +29,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/corpuswright/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Bytes of a file's rows that a task gets at most, where rows of few files are dealt out.
+TASK_BYTES = 4_000_000
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The rows, dealt to more tasks where a table has fewer files than the session has cores: a file may be one row group,
+    which a single task reads and works on alone."""
+    files, cores = len(df.inputFiles()), df.sparkSession.sparkContext.defaultParallelism
+    wanted = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) // TASK_BYTES
+    return df.repartition(wanted) if files < cores and wanted > files else df
